@@ -92,7 +92,7 @@ GIVEN_NAMES = {
     "patricia": "patricia pat patty",
 }
 ROMAN = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "one": "1", "two": "2", "three": "3"}
-UNIT_WORDS = {"apt", "apartment", "unit", "ste", "suite", "bldg", "building", "rm", "room", "fl", "floor", "spc", "space"}
+NO_ADDRESS = {"request", "tbd", "tba", "call", "contact", "various", "available", "website", "online", "unknown", "na", "confidential", "undisclosed", "scattered", "multiple", "see", "address"}
 STATE_WORDS = {"ca", "calif", "california", "usa", "us"}
 
 
@@ -275,11 +275,12 @@ def parse_address(text: str | None) -> Address:
     s = plain(text).lower()
     # A line break, a semicolon or a spaced dash parts as a comma does.
     s = re.sub(r"\s+-\s+|[;\n\r|]+", ",", s)
-    zip_code = ""
+    zip_code, zip_last = "", False
     zips = [m for m in re.finditer(r"(?<![\d#-])(\d{5})(?:-\d{4})*(?![\d])", s)]
     if zips:
         m = zips[-1]
         zip_code = m[1]
+        zip_last = not re.search(r"[^\W_]", s[m.end() :])
         s = s[: m.start()] + "," + s[m.end() :]
     s = _UNIT.sub(" , ", s)
     segments = []
@@ -303,14 +304,15 @@ def parse_address(text: str | None) -> Address:
                 before = before[:-1]
             break
     if at < 0:
-        words = [t for seg in segments for t in seg]
-        return Address("", "", "", "", "", " ".join(words) if len(segments) == 1 else " ".join(segments[-1]) if segments else "", zip_code)
+        # City alone, or a phrase in place of an address.
+        says = segments[-1] if segments else []
+        return Address("", "", "", "", "", "" if set(says) & NO_ADDRESS else " ".join(says), zip_code)
     if before and after:
         # Street before the number: what follows is the city.
         direction, mark, street, kind, _ = _street(before)
         rest = [after] + segments[at + 1 :]
         other = segments[:at]
-    elif after and at and len(after) == 1 and any(t in STREET_OF for t in segments[at - 1][1:]):
+    elif after and at and len(after) == 1 and (zip_last or any(t in STREET_OF for t in segments[at - 1][1:])):
         # Street, then number and city.
         direction, mark, street, kind, tail = _street(segments[at - 1])
         rest, other = [after] + segments[at + 1 :], segments[: at - 1]

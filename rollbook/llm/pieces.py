@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.canonical import map_agencies
 from rollbook.llm.parse import Address, alike, distance, parse_address, parse_agency, parse_name
+from rollbook.session import cut
 
 #: A word is common from this share of all names on: so many words at most can be.
 COMMON_SHARE = 1 / 5000
@@ -66,11 +67,15 @@ def _common_of(word: str, common: dict[str, int]) -> str:
     """The common word that ``word`` is, up to slips; empty if none."""
     if word in common:
         return word
+    best = (3, "")
     for known in common:
-        most = 2 if len(known) >= 6 and len(word) >= 6 else 1 if len(known) >= 4 and len(word) >= 4 else 0
-        if most and abs(len(known) - len(word)) <= most and distance(word, known, most) <= most:
-            return known
-    return ""
+        short = min(len(known), len(word))
+        most = 2 if short >= 6 else 1 if short >= 4 else 0
+        if most and abs(len(known) - len(word)) <= most:
+            n = distance(word, known, most)
+            if n <= most:
+                best = min(best, (n, known))
+    return best[1]
 
 
 def split_words(words: list[str], common: dict[str, int], cache: dict[str, str]) -> tuple[str, str]:
@@ -116,7 +121,7 @@ def name_pieces(names: DataFrame) -> DataFrame:
                 columns=["name", "words", "given", "mark", "ntype", "part", "phase"],
             )
 
-    parsed = names.select("name").distinct().mapInPandas(run, NAME_SCHEMA)
+    parsed = cut(names.select("name").distinct().mapInPandas(run, NAME_SCHEMA))
     common = common_words(parsed)
     shared = names.sparkSession.sparkContext.broadcast(common)  # bounded, see common_words
 

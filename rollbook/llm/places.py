@@ -26,6 +26,7 @@ from rollbook.llm.pieces import (
     words_agree,
     zip_cities,
 )
+from rollbook.session import cut
 
 #: Share of an address's letter pairs that a fuller wording of it holds at least: two slips in a name of eight letters leave a third.
 CONTAINED = 1 / 3
@@ -69,7 +70,7 @@ def place_links(addresses: DataFrame) -> DataFrame:
     partners differ among themselves, so that it fits places that differ. Texts
     without street and number have no links.
     """
-    pieces = address_pieces(addresses)
+    pieces = cut(address_pieces(addresses))
     cities = zip_cities(pieces)
     full = pieces.where("number != '' AND street != ''").join(cities, "zip", "left").select(
         "address", *PARTS, F.coalesce("zip_city", F.lit("")).alias("zip_city")
@@ -79,7 +80,7 @@ def place_links(addresses: DataFrame) -> DataFrame:
     fullness = sum(((F.col(c) != "").cast("int") for c in ("direction", "stype", "mark")), F.lit(0)) + (
         (F.col("city") != "") | (F.col("zip") != "")
     ).cast("int")
-    base = _prefixed(with_pairs, rarity).select(
+    base = cut(_prefixed(with_pairs, rarity)).select(
         F.col("address"), F.struct(*PARTS, "zip_city").alias("parts"), fullness.alias("n"), "pairs", "prefix"
     )
     index = base.select(
@@ -126,7 +127,7 @@ def place_links(addresses: DataFrame) -> DataFrame:
             yield pdf[keep][["a", "b", "pa", "pb"]]
 
     schema = f"a string, b string, pa {index.schema['pa'].dataType.simpleString()}, pb {probe.schema['pb'].dataType.simpleString()}"
-    links = hits.mapInPandas(verify, schema)
+    links = cut(hits.mapInPandas(verify, schema))
     return _with_doubt(links)
 
 

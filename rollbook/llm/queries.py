@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import canonical
+from pyspark.sql import functions as F
+
+from rollbook.llm import canonical, linkage, places, spellings
 from rollbook.session import table
 
 
@@ -20,5 +22,38 @@ def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-QUERIES = {"p2_found": p2_found}
+def p3_pairs(spark: SparkSession, directory: str) -> DataFrame:
+    """Matching raw records and partner listings with the confidence of each match."""
+    pairs = linkage.match_records(
+        linkage.raw_side(table(spark, directory, "raw_records")),
+        linkage.partner_side(table(spark, directory, "partner_listings")),
+        table(spark, directory, "ref_authorities"),
+    )
+    return pairs.select(F.col("left_id").alias("record_id"), F.col("right_id").alias("partner_id"), "confidence")
+
+
+def p3_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Matching raw records and partner listings."""
+    return p3_pairs(spark, directory).select("record_id", "partner_id")
+
+
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Raw records at the same place with differing addresses."""
+    return places.same_place(table(spark, directory, "raw_records"))
+
+
+def p7_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Raw records that name one property of one authority in different spellings."""
+    return spellings.same_property(
+        table(spark, directory, "raw_records"), table(spark, directory, "ref_authorities")
+    )
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_pairs": p3_pairs,
+    "p6_found": p6_found,
+    "p7_found": p7_found,
+}
 SQL: dict[str, str] = {}
