@@ -16,14 +16,15 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LOST = "�"
 #: Character sets a text may wrongly have been read in, and true ones of one or two bytes besides UTF-8.
-READ_AS = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "iso8859_15", "mac_cyrillic")
-TRUE_BYTES = ("cp1252", "cp1251", "koi8_r", "gbk", "big5", "mac_roman", "cp437", "cp1258")
+READ_AS = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "iso8859_15", "mac_cyrillic", "cp866")
+TRUE_BYTES = ("cp1252", "cp1251", "koi8_r", "gbk", "big5", "mac_roman", "cp437", "cp1258", "cp866")
 #: Nats by which another reading must win: per step for a decoded character, per line for a whole line.
 STEP_COST = 4.0
 LINE_MARGIN = 9.0
@@ -49,26 +50,52 @@ def bytes_of(codec: str) -> dict[str, int]:
 
 @lru_cache
 def _to_bytes(codec: str) -> dict[int, str]:
-    """Translation of a text to its bytes as characters up to 255; what has no byte becomes a mark."""
+    """Translation of characters to their bytes as characters up to 255; what has no byte becomes a mark."""
 
     class Table(dict):
         def __missing__(self, code):
-            return "\x00" if code > 127 else chr(code)
+            return "\x00"
 
     table = Table({ord(c): chr(b) for c, b in bytes_of(codec).items()})
+    table.update({k: chr(k) for k in range(128)})
     table[ord(LOST)] = "\x01"
     table[ord("?")] = "\x02"
     return table
 
 
+@lru_cache
+def _leads(codec: str) -> frozenset[str]:
+    """Characters that may have been the first byte of two or more."""
+    return frozenset(c for c, b in bytes_of(codec).items() if 0xC2 <= b <= 0xF4) | {LOST}
+
+
 #: Two to four bytes of UTF-8, some of which may be lost.
 _UTF8 = re.compile(
     "[\xc2-\xdf][\x80-\xbf\x01\x02]|[\xe0-\xef][\x80-\xbf\x01\x02]{2}|[\xf0-\xf4][\x80-\xbf\x01\x02]{3}|\x01[\x80-\xbf]{1,3}"
 )
 _HIGH = re.compile(r"[^\x00-\x7f]")
+#: Runs in which bytes of one character may stand: neighbours above ASCII, or lost ones among them.
+_SPAN = re.compile(r"[^\x00-\x7f](?:[^\x00-\x7f]|\?)+|\?[^\x00-\x7f](?:[^\x00-\x7f]|\?)*")
 _LATIN_RUN = re.compile("[\x80-\xff–-™ŒœŠšŽžŸƒˆ˜]{4,}")
 
 
+@lru_cache(100_000)
+def script_of(c: str) -> int:
+    """A coarse script: Latin, Greek, Cyrillic, East Asian, signs, else the block."""
+    k = ord(c)
+    if 0xC0 <= k < 0x250 and k not in (0xD7, 0xF7) or 0x1E00 <= k < 0x1F00:
+        return 1
+    if 0x370 <= k < 0x400:
+        return 2
+    if 0x400 <= k < 0x530:
+        return 3
+    if 0x2E80 <= k < 0xA000 or 0xFF00 <= k < 0xFFF0:
+        return 4
+    if k < 0xC0 or k in (0xD7, 0xF7) or 0x2000 <= k < 0x2C00:
+        return 5
+    return 0x1000 + (k >> 8)
+
+
 class Frequencies:
     """Corpus frequencies: log probability of characters, common words, and characters by partly known bytes."""
 
@@ -76,7 +103,16 @@ class Frequencies:
         total = max(1, sum(chars.values()))
         self.floor = -math.log(total) - 3.0
         self.char = {c: math.log(n / total) for c, n in chars.items() if n > 0}
+        scripts: Counter = Counter()
+        for c, n in chars.items():
+            if ord(c) > 127:
+                scripts[script_of(c)] += n
+        high = max(1, sum(scripts.values()))
+        #: Log probability of turning to a script, and of a character within its script.
+        self.turn = {k: math.log(n / high) for k, n in scripts.items()}
+        self.inside = {c: math.log(n / scripts[script_of(c)]) for c, n in chars.items() if ord(c) > 127 and n > 0}
         self.words = words
+        self.gains: dict[str, np.ndarray] = {}
         self.by_bytes: dict[tuple, tuple[float, str]] = {}
         for c, p in self.char.items():
             if ord(c) < 128 or c == LOST or 128 <= ord(c) < 160:
@@ -97,23 +133,36 @@ class Frequencies:
     def of(self, c: str) -> float:
         return self.char.get(c, self.floor)
 
+    def step(self, c: str, before: int) -> float:
+        """Log probability of a character above ASCII after one of script ``before``."""
+        if c == LOST:
+            return self.floor - 2
+        k = script_of(c)
+        return (0.0 if k == before else self.turn.get(k, self.floor)) + self.inside.get(c, self.floor)
+
     def cost(self, text: str) -> float:
-        """Log probability of the characters above ASCII."""
-        return sum(self.of(c) if c != LOST else self.floor - 2 for c in text if ord(c) > 127)
+        """Log probability of the characters above ASCII of a text."""
+        total, before = 0.0, 0
+        for c in text:
+            if ord(c) > 127:
+                total += self.step(c, before)
+                before = script_of(c)
+        return total
 
 
 def _viterbi(text: str, raw: str, freq: Frequencies) -> tuple[float, str]:
     """Best reading of a span: each place keeps its character, or two to four become one of UTF-8. Gain and text."""
     n = len(text)
     best = [0.0] + [-1e18] * n
+    script = [0] * (n + 1)
     back: list[tuple[int, str]] = [(0, "")] * (n + 1)
     for i in range(n):
         if best[i] < -1e17:
             continue
         c = text[i]
-        keep = best[i] + (0.0 if ord(c) < 128 else freq.floor - 2 if c == LOST else freq.of(c))
+        keep = best[i] + (0.0 if ord(c) < 128 else freq.step(c, script[i]))
         if keep > best[i + 1]:
-            best[i + 1], back[i + 1] = keep, (i, c)
+            best[i + 1], back[i + 1], script[i + 1] = keep, (i, c), script_of(c) if ord(c) > 127 else script[i]
         for size in (2, 3, 4):
             if i + size > n:
                 break
@@ -122,18 +171,17 @@ def _viterbi(text: str, raw: str, freq: Frequencies) -> tuple[float, str]:
             if 0 in codes or all(b is None for b in key):
                 continue
             if None in key:
-                found = freq.by_bytes.get(key)
+                found = freq.by_bytes.get(key, (0.0, ""))[1]
             else:
                 try:
-                    d = bytes(codes).decode("utf-8")
+                    found = bytes(codes).decode("utf-8")
                 except (UnicodeDecodeError, ValueError):
                     continue
-                found = (freq.of(d), d) if len(d) == 1 else None
-            if found:
+            if len(found) == 1 and found in freq.inside:
                 # A question mark is rarely a lost byte.
-                score = best[i] + found[0] - STEP_COST - 3.0 * codes.count(2)
+                score = best[i] + freq.step(found, script[i]) - STEP_COST - 3.0 * codes.count(2)
                 if score > best[i + size]:
-                    best[i + size], back[i + size] = score, (i, found[1])
+                    best[i + size], back[i + size], script[i + size] = score, (i, found), script_of(found)
     out, i = [], n
     while i:
         i, piece = back[i]
@@ -142,21 +190,23 @@ def _viterbi(text: str, raw: str, freq: Frequencies) -> tuple[float, str]:
 
 
 def _as_utf8(line: str, freq: Frequencies) -> tuple[float, str]:
-    """Best gain over the sets the line may have been read in; spans around possible UTF-8 only are searched."""
+    """Best gain over the sets the line may have been read in; spans of possible UTF-8 only are searched."""
     top = (0.0, line)
+    spans = [(m.start(), m.end(), m[0]) for m in _SPAN.finditer(line)]
+    if not spans:
+        return top
+    letters = set().union(*(x[2] for x in spans))
     for codec in READ_AS:
-        raw = line.translate(_to_bytes(codec))
-        if not _UTF8.search(raw):
+        if letters.isdisjoint(_leads(codec)):
             continue
         gain, out, last = 0.0, [], 0
-        # Runs of characters above ASCII (and signs of lost bytes) are one span each.
-        for m in re.finditer("[\x00\x01\x02\x80-\xff]{2,}", raw):
-            a, b = m.span()
-            if not _UTF8.search(raw, a, b):
+        for a, b, span in spans:
+            raw = span.translate(_to_bytes(codec))
+            if not _UTF8.search(raw):
                 continue
-            score, text = _viterbi(line[a:b], raw[a:b], freq)
-            won = score - freq.cost(line[a:b])
-            if won > 0 and text != line[a:b]:
+            score, text = _viterbi(span, raw, freq)
+            won = score - freq.cost(span)
+            if won > 0 and text != span:
                 gain += won
                 out += [line[last:a], text]
                 last = b
@@ -165,38 +215,65 @@ def _as_utf8(line: str, freq: Frequencies) -> tuple[float, str]:
     return top
 
 
+_PAIRS = [(c, t) for c in READ_AS for t in TRUE_BYTES if c != t and t not in ("gbk", "big5")]
+
+
+def _byte_gains(c: str, freq: Frequencies) -> np.ndarray:
+    """What each pair of sets would win by reading a character anew."""
+    if (known := freq.gains.get(c)) is None:
+        known = np.full(len(_PAIRS), -50.0)
+        for k, (codec, true) in enumerate(_PAIRS):
+            if c == LOST:
+                known[k] = 0.0
+            elif (b := bytes_of(codec).get(c)) is not None:
+                try:
+                    known[k] = freq.of(bytes([b]).decode(true)) - freq.of(c)
+                except UnicodeDecodeError:
+                    pass
+        freq.gains[c] = known
+    return known
+
+
+def _sensible(old: str, new: str, freq: Frequencies) -> bool:
+    """At least half of the words that a new reading changes become more common in the corpus than they were."""
+    changed = [(a.lower(), b.lower()) for a, b in zip(old.split(), new.split()) if a != b]
+    better = seen = 0
+    for a, b in changed:
+        words = [w for w in re.findall(r"[^\W\d_]+", b) if not w.isascii() and len(w) >= 3]
+        if not words:
+            continue
+        seen += 1
+        before = max([freq.words.get(w, 0) for w in re.findall(r"[^\W\d_]+", a) if len(w) >= 3] or [0])
+        better += max(freq.words.get(w, 0) for w in words) > 2 * before
+    return seen > 0 and 2 * better >= seen
+
+
 def _as_bytes(line: str, freq: Frequencies) -> tuple[float, str]:
-    """Best gain of reading the whole line's upper characters in another set of one or two bytes."""
+    """Best gain of reading the line's upper characters in another set of one or two bytes."""
     top = (0.0, line)
     high = Counter(_HIGH.findall(line))
-    before = sum(freq.of(c) * n for c, n in high.items())
-    for codec in READ_AS:
+    gains = sum(_byte_gains(c, freq) * n for c, n in high.items())
+    for k in np.argsort(-gains)[:3]:
+        if gains[k] <= 0:
+            break
+        codec, true = _PAIRS[k]
         table = bytes_of(codec)
-        if not all(c in table or c == LOST for c in high):
-            continue
-        for true in TRUE_BYTES:
-            if true == codec:
+        text = line.translate({ord(c): bytes([table[c]]).decode(true) for c in high if c in table})
+        if _sensible(line, text, freq):
+            top = (float(gains[k]), text)
+            break
+    if _LATIN_RUN.search(line):
+        before = freq.cost(line)
+        for codec in ("cp1252", "latin_1"):
+            table = bytes_of(codec)
+            if not all(c in table for c in high):
                 continue
-            if true in ("gbk", "big5"):
-                if not _LATIN_RUN.search(line):
-                    continue
-                raw = b"".join(bytes([table[c]]) if c in table else c.encode("ascii", "replace") for c in line)
+            raw = b"".join(bytes([table[c]]) if c in table else c.encode("ascii", "replace") for c in line)
+            for true in ("gbk", "big5"):
                 text = raw.decode(true, "replace")
-                after = freq.cost(text)
-            else:
-                after, ok = 0.0, {}
-                for c, n in high.items():
-                    try:
-                        d = bytes([table[c]]).decode(true) if c in table else LOST
-                    except UnicodeDecodeError:
-                        d = LOST
-                    ok[c] = d
-                    after += (freq.of(d) if d != LOST else freq.floor - 2) * n
-                if after - before <= top[0]:
-                    continue
-                text = line.translate({ord(c): d for c, d in ok.items()})
-            if after - before > top[0]:
-                top = (after - before, text)
+                after = freq.cost(text) - before
+                if after > top[0] and LOST not in text:
+                    top = (after, text)
     return top
 
 
@@ -232,7 +309,7 @@ def repair(text: str | None, freq: Frequencies) -> tuple[bool, str]:
         bad = LOST in line or bool(_CONTROL.search(line))
         for _ in range(MAX_DEPTH):
             gain, better = _as_utf8(line, freq)
-            least = 2.0 if bad else LINE_MARGIN / 2
+            least = 1.0
             if gain < least:
                 gain, better = _as_bytes(line, freq)
                 least = 4.0 if bad else LINE_MARGIN
