@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from rollbook.llm import canonical, linkage, places, spellings
+from rollbook.llm import canonical, leakage, linkage, mojibake, places, spellings, survivors, tokens
 from rollbook.session import table
 
 
@@ -49,11 +49,75 @@ def p7_found(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def p4_found(spark: SparkSession, directory: str) -> DataFrame:
+    """One surviving record for each mirror_key with two or more rows."""
+    return survivors.surviving_records(table(spark, directory, "mirror_records"))
+
+
+P4_SQL = r"""
+WITH r AS (
+  SELECT mirror_key, row_id,
+    CASE lower(trim(confidence)) WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 4 END AS lvl,
+    date_trunc('second', try_cast(replace(trim(last_seen), 'Z', '') AS TIMESTAMP)) AS seen,
+    regexp_replace(regexp_replace(lower(phone), '(\bx|\bext\b|\bextn\b|\bextension\b|#|([0-9])x|([0-9])ext)[\s.:#]*[0-9]+\s*$', '\2\3'), '[^0-9]', '', 'g') AS d,
+    regexp_extract(lower(email), '[a-z0-9_%+''-]+(\.[a-z0-9_%+''-]+)*@[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,}') AS e
+  FROM mirror_records WHERE trim(mirror_key) <> ''),
+u AS (SELECT *, CASE WHEN length(d) = 11 AND d LIKE '1%' THEN substr(d, 2) ELSE d END AS p FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY mirror_key ORDER BY lvl, seen DESC NULLS LAST, row_id) AS n,
+        CASE WHEN length(p) = 10 AND replace(p, substr(p, 1, 1), '') <> '' THEN p END AS phone,
+        nullif(e, '') AS email FROM u)
+SELECT mirror_key, coalesce(min_by(phone, n) FILTER (phone IS NOT NULL), '') AS phone,
+  coalesce(min_by(email, n) FILTER (email IS NOT NULL), '') AS email,
+  CASE min(lvl) WHEN 1 THEN 'high' WHEN 2 THEN 'medium' WHEN 3 THEN 'low' ELSE '' END AS confidence,
+  coalesce(strftime(max(seen), '%Y-%m-%dT%H:%M:%S'), '') AS last_seen
+FROM k GROUP BY mirror_key HAVING count(*) >= 2
+"""
+
+
+def p4_values(spark: SparkSession, directory: str) -> DataFrame:
+    """Every usable phone and email of each mirror_key with the probability that it is true."""
+    judged, _ = survivors.judged_values(table(spark, directory, "mirror_records"))
+    return judged
+
+
+def p4_sources(spark: SparkSession, directory: str) -> DataFrame:
+    """Sensitivity and specificity of each source."""
+    _, quality = survivors.judged_values(table(spark, directory, "mirror_records"))
+    return quality
+
+
+def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
+    """Token ids of every document."""
+    return tokens.encode_corpus(table(spark, directory, "documents"))
+
+
+def p9_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents that leak a test item."""
+    return leakage.leaks(table(spark, directory, "documents"), table(spark, directory, "eval_items")).select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents with text decoded in a wrong character set."""
+    return mojibake.repaired(table(spark, directory, "documents")).select("doc_id")
+
+
+def p10_restored(spark: SparkSession, directory: str) -> DataFrame:
+    """Damaged documents with their most likely original text."""
+    return mojibake.repaired(table(spark, directory, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_pairs": p3_pairs,
+    "p4_found": p4_found,
+    "p4_values": p4_values,
+    "p4_sources": p4_sources,
     "p6_found": p6_found,
     "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
-SQL: dict[str, str] = {}
+SQL = {"p4_found": P4_SQL}
