@@ -206,6 +206,8 @@ def link_grid(root: Node, url: str) -> list[dict]:
         while item.parent and item.tag != "li":
             item = item.parent
         wide = item.text()
+        for label in texts:
+            wide = wide.replace(label, "|")
         flag = next((t for t in texts if badge("eden", t)), "")
         city, units = CITY.search(wide), UNITS.search(wide)
         out.append(

@@ -73,7 +73,7 @@ def parse_table(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """:func:`parse_table` of a text file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
     return parse_table(lines)
 
 
