@@ -150,7 +150,7 @@ class Frequencies:
         return total
 
 
-def _viterbi(text: str, raw: str, freq: Frequencies) -> tuple[float, str]:
+def _viterbi(text: str, raw: str, freq: Frequencies, step: float = STEP_COST) -> tuple[float, str]:
     """Best reading of a span: each place keeps its character, or two to four become one of UTF-8. Gain and text."""
     n = len(text)
     best = [0.0] + [-1e18] * n
@@ -179,7 +179,7 @@ def _viterbi(text: str, raw: str, freq: Frequencies) -> tuple[float, str]:
                     continue
             if len(found) == 1 and found in freq.inside:
                 # A question mark is rarely a lost byte.
-                score = best[i] + freq.step(found, script[i]) - STEP_COST - 3.0 * codes.count(2)
+                score = best[i] + freq.step(found, script[i]) - step - 3.0 * codes.count(2)
                 if score > best[i + size]:
                     best[i + size], back[i + size], script[i + size] = score, (i, found), script_of(found)
     out, i = [], n
@@ -196,25 +196,35 @@ def _as_utf8(line: str, freq: Frequencies) -> tuple[float, str]:
     if not spans:
         return top
     letters = set().union(*(x[2] for x in spans))
+    best_codec = None
     for codec in READ_AS:
         if letters.isdisjoint(_leads(codec)):
             continue
-        gain, out, last = 0.0, [], 0
-        for a, b, span in spans:
-            raw = span.translate(_to_bytes(codec))
-            if not _UTF8.search(raw):
-                continue
-            score, text = _viterbi(span, raw, freq)
-            won = score - freq.cost(span)
-            if won > 0 and text != span:
-                gain += won
-                out += [line[last:a], text]
-                last = b
+        gain, _ = _decode_spans(line, spans, codec, freq, STEP_COST)
         if gain > top[0]:
-            top = (gain, "".join(out) + line[last:])
+            top, best_codec = (gain, line), codec
+    if best_codec:
+        # Where a set was misread once in a line, the next character of it costs nothing.
+        top = (top[0], _decode_spans(line, spans, best_codec, freq, 0.0)[1])
     return top
 
 
+def _decode_spans(line: str, spans: list[tuple[int, int, str]], codec: str, freq: Frequencies, step: float) -> tuple[float, str]:
+    """Gain and text if the line was read in ``codec``."""
+    gain, out, last = 0.0, [], 0
+    for a, b, span in spans:
+        raw = span.translate(_to_bytes(codec))
+        if not _UTF8.search(raw):
+            continue
+        score, text = _viterbi(span, raw, freq, step)
+        won = score - freq.cost(span)
+        if won > 0 and text != span:
+            gain += won
+            out += [line[last:a], text]
+            last = b
+    return gain, "".join(out) + line[last:]
+
+
 _PAIRS = [(c, t) for c in READ_AS for t in TRUE_BYTES if c != t and t not in ("gbk", "big5")]
 
 

@@ -78,8 +78,8 @@ def _common_of(word: str, common: dict[str, int]) -> str:
     return best[1]
 
 
-def split_words(words: list[str], common: dict[str, int], cache: dict[str, str]) -> tuple[str, str]:
-    """The rare word of a name and its common word (either may be empty)."""
+def split_words(words: list[str], common: dict[str, int], cache: dict[str, str]) -> tuple[str, str, bool]:
+    """The rare word of a name, its common word (either may be empty), and whether the common one is known."""
 
     def known(word: str) -> str:
         if word not in cache:
@@ -91,27 +91,26 @@ def split_words(words: list[str], common: dict[str, int], cache: dict[str, str])
         # Glued to its common word.
         for tail in common:
             if len(tail) >= 5 and words[0].endswith(tail) and len(words[0]) - len(tail) >= 5:
-                return words[0][: -len(tail)], tail
+                return words[0][: -len(tail)], tail, True
     exact = [w for w in words if w in common]
     if len(exact) < len(words) and exact:
         rest = [w for w in words if w not in common]
-        return "".join(rest), exact[-1]
+        return "".join(rest), exact[-1], True
     if exact:
-        return ("", exact[0]) if len(words) == 1 else (exact[0], exact[-1])
+        return ("", exact[0], True) if len(words) == 1 else (exact[0], exact[-1], True)
     if len(words) == 1:
         near = known(words[0])
-        return ("", near) if near else (words[0], "")
+        return ("", near, True) if near else (words[0], "", False)
     # The later word is the common one where both could be.
     for k in range(len(words) - 1, -1, -1):
         if near := known(words[k]):
-            return "".join(words[:k] + words[k + 1 :]), near
-    if len(words) == 2:
-        return words[0], ""
-    return "".join(words), ""
+            return "".join(words[:k] + words[k + 1 :]), near, True
+    # None is known: the last word is the most likely one.
+    return "".join(words[:-1]), words[-1] if words else "", False
 
 
 def name_pieces(names: DataFrame) -> DataFrame:
-    """Pieces of the distinct texts in column ``name``, with ``rare`` and ``common``, the two words that tell it apart."""
+    """Pieces of the distinct texts in column ``name``, with ``rare`` and ``common``, the two words that tell it apart, and ``topic``, the common one if it is known."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -129,9 +128,9 @@ def name_pieces(names: DataFrame) -> DataFrame:
         cache: dict[str, str] = {}
         for pdf in batches:
             two = [split_words(w, shared.value, cache) for w in pdf["words"]]
-            yield pdf.assign(rare=[t[0] for t in two], common=[t[1] for t in two])
+            yield pdf.assign(rare=[t[0] for t in two], common=[t[1] for t in two], topic=[t[1] if t[2] else "" for t in two])
 
-    return parsed.mapInPandas(tell, NAME_SCHEMA + ", rare string, common string")
+    return parsed.mapInPandas(tell, NAME_SCHEMA + ", rare string, common string, topic string")
 
 
 def agency_keys(agencies: DataFrame, refs: DataFrame) -> DataFrame:

@@ -95,7 +95,7 @@ def name_links(reps: DataFrame) -> DataFrame:
     base = cut(piece_index(reps)).select(
         "rep",
         F.struct(*FIELDS).alias("f"),
-        F.col("common"),
+        F.col("topic"),
         # Bodies outside the reference list may be misspelt themselves: one block.
         F.when(F.col("body").startswith("~"), "~").otherwise(F.col("body")).alias("block"),
         F.size("pieces").alias("n"),
@@ -106,18 +106,18 @@ def name_links(reps: DataFrame) -> DataFrame:
     def side(df: DataFrame, s: str) -> DataFrame:
         return df.select(
             "piece",
-            *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "f", "common", "block", "n", "key", "i")],
+            *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "f", "topic", "block", "n", "key", "i")],
         )
 
-    full = base.where("common != '' AND block != ''")
+    full = base.where("topic != '' AND block != ''")
     joins = [
         # left, right, blocks that must agree
-        (full, full, ("common", "block")),
-        (base.where("block = '' AND common != ''"), base.where("common != ''"), ("common",)),
-        (base.where("common = '' AND block != ''"), base.where("block != ''"), ("block",)),
-        (base.where("common = '' AND block = ''"), base, ()),
-        (base.where("block = ''"), base.where("common = ''"), ()),
-        (base.where("common = ''"), base.where("block = ''"), ()),
+        (full, full, ("topic", "block")),
+        (base.where("block = '' AND topic != ''"), base.where("topic != ''"), ("topic",)),
+        (base.where("topic = '' AND block != ''"), base.where("block != ''"), ("block",)),
+        (base.where("topic = '' AND block = ''"), base, ()),
+        (base.where("block = ''"), base.where("topic = ''"), ()),
+        (base.where("topic = ''"), base.where("block = ''"), ()),
     ]
     found = None
     for left, right, blocks in joins:
@@ -135,8 +135,8 @@ def name_links(reps: DataFrame) -> DataFrame:
             .where(F.col("f_x.phase") == F.col("f_y.phase"))
             .where(
                 (F.levenshtein(F.col("key_x"), F.col("key_y"), 4) >= 0)
-                | (F.col("common_x") == "")
-                | (F.col("common_y") == "")
+                | (F.col("topic_x") == "")
+                | (F.col("topic_y") == "")
             )
         )
         swap = F.col("rep_x") > F.col("rep_y")
