@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.session import big
+
 CHAIN_COLUMNS = ("entity", "value", "valid_from", "valid_to")
 
 
@@ -77,7 +79,7 @@ def build_chains(read: DataFrame, bucket: str = "day") -> DataFrame:
         "entity", "bucket", F.lag("bucket_last").over(along).alias("carried")
     )
     starts = (
-        changed.join(heads, ["entity", "bucket"])
+        changed.join(big(heads), ["entity", "bucket"])
         .where((F.col("nth") > 1) | F.col("carried").isNull() | (F.col("carried") != F.col("value")))
         .select("entity", "bucket", "seen", "value")
     )
@@ -91,10 +93,10 @@ def build_chains(read: DataFrame, bucket: str = "day") -> DataFrame:
     earliest = read.where(F.col("first_seen").isNotNull()).groupBy("entity").agg(F.min("first_seen").alias("born"))
     first = F.col("opening") & (F.row_number().over(inside) == 1)
     return (
-        starts.join(nexts, ["entity", "bucket"])
+        starts.join(big(nexts), ["entity", "bucket"])
         .withColumn("is_first", first)
         .withColumn("valid_to", F.coalesce(F.lead("seen").over(inside), "next_start"))
-        .join(earliest, "entity", "left")
+        .join(big(earliest), "entity", "left")
         .select(
             "entity",
             "value",
@@ -118,8 +120,8 @@ def rebuild_affected(chains: DataFrame, raw: DataFrame, batch: DataFrame) -> Dat
     batch changes nothing.
     """
     touched = touched_entities(batch)
-    again = build_chains(raw.join(touched, "entity", "left_semi").unionByName(batch))
-    kept = chains.join(touched, "entity", "left_anti").select(*CHAIN_COLUMNS)
+    again = build_chains(raw.join(big(touched), "entity", "left_semi").unionByName(batch))
+    kept = chains.join(big(touched), "entity", "left_anti").select(*CHAIN_COLUMNS)
     return kept.unionByName(again)
 
 

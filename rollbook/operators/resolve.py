@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import text as X
 from rollbook.operators.canonical import KEY
-from rollbook.session import cut
+from rollbook.session import big, cut
 
 MAX_ROUNDS = 12
 
@@ -72,22 +72,22 @@ def survivors_exact(rows: DataFrame, rounds: int = MAX_ROUNDS) -> DataFrame:
         lead_ident = left.groupBy("ident").agg(F.min("rank").alias("lead_ident"))
         lead_cross = left.where("cross IS NOT NULL").groupBy("cross").agg(F.min("rank").alias("lead_cross"))
         won = cut(
-            left.join(lead_ident, "ident")
-            .join(lead_cross, "cross", "left")
+            left.join(big(lead_ident), "ident")
+            .join(big(lead_cross), "cross", "left")
             .where((F.col("rank") == F.col("lead_ident")) & (F.col("lead_cross").isNull() | (F.col("rank") == F.col("lead_cross"))))
             .select("ident", "cross", "rank")
         )
         accepted = won if accepted is None else accepted.unionByName(won)
         left = cut(
-            left.join(won.select("ident"), "ident", "left_anti").join(
-                won.where("cross IS NOT NULL").select("cross").distinct(), "cross", "left_anti"
+            left.join(big(won.select("ident")), "ident", "left_anti").join(
+                big(won.where("cross IS NOT NULL").select("cross").distinct()), "cross", "left_anti"
             ).select("ident", "cross", "rank")
         )
         if left.isEmpty():
             break
     else:
         accepted = accepted.unionByName(_scan(left))
-    return k.join(accepted.select("rank"), "rank", "left_semi").select(*rows.columns)
+    return k.join(big(accepted.select("rank")), "rank", "left_semi").select(*rows.columns)
 
 
 def _scan(left: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def survivors(rows: DataFrame, mode: str = "exact") -> DataFrame:
 
 def mirrors(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """Keys of rows that did not survive: to be touched, not stored."""
-    return rows.select(*KEY).distinct().join(kept.select(*KEY).distinct(), list(KEY), "left_anti")
+    return rows.select(*KEY).distinct().join(big(kept.select(*KEY).distinct()), list(KEY), "left_anti")
 
 
 def aliases(inventory: DataFrame, kept: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def aliases(inventory: DataFrame, kept: DataFrame) -> DataFrame:
     same = (F.col("i_url") == F.col("url")) & (F.col("url") != "")
     near = (F.length("address") >= 8) & (F.col("i_address") == F.col("address"))
     return (
-        a.join(b, (a["i_property_name"] == b["property_name"]) & (a["i_authority"] != b["authority"]) & (same | near))
+        a.join(big(b), (a["i_property_name"] == b["property_name"]) & (a["i_authority"] != b["authority"]) & (same | near))
         .select(*[F.col(f"i_{c}").alias(c) for c in KEY])
         .distinct()
     )

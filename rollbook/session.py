@@ -58,3 +58,12 @@ def cut(df: DataFrame) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def big(df: DataFrame) -> DataFrame:
+    """Marks a side of a join that grows with the data: it is never broadcast on an estimate.
+
+    Estimates of exploded or Python-made columns come from the files behind them
+    and can be far too small; a sort-merge join spills and splits skewed keys.
+    """
+    return df.hint("merge")
