@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.parse import distance, parse_agency, plain
+from rollbook.session import big
 
 #: Letter pairs use 36 letters and digits and a word mark: at most 37 * 37 different ones.
 MAX_PAIRS = 37 * 37
@@ -243,6 +244,6 @@ def map_cells(
         F.col("text").alias("cell"), "canonical", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
     salted = cells.withColumn("salt", F.pmod(F.xxhash64(F.col(key)), F.lit(SALTS)).cast("int"))
-    return salted.join(mapping, ["cell", "salt"], "left").select(
+    return salted.join(big(mapping), ["cell", "salt"], "left").select(
         F.col(key), F.lit(field).alias("field"), F.coalesce("canonical", F.lit("")).alias("canonical")
     )

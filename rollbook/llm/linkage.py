@@ -34,7 +34,7 @@ from rollbook.llm.pieces import (
     words_agree,
     zip_cities,
 )
-from rollbook.session import cut, shuffle_width
+from rollbook.session import big, cut, shuffle_width
 
 WINDOW = 12
 LEAST = 0.62
@@ -63,11 +63,11 @@ def _describe(rows: DataFrame, refs: DataFrame) -> DataFrame:
     cities = zip_cities(places)
     return (
         reps.join(
-            name_pieces(reps).select("name", "rare", "common", "given", F.col("mark").alias("nmark"), "ntype", "part", "phase"),
+            big(name_pieces(reps).select("name", "rare", "common", "given", F.col("mark").alias("nmark"), "ntype", "part", "phase")),
             "name",
         )
-        .join(agency_keys(reps, refs), "agency")
-        .join(places.join(cities, "zip", "left").withColumn("zip_city", F.coalesce("zip_city", F.lit(""))), "address")
+        .join(big(agency_keys(reps, refs)), "agency")
+        .join(big(places.join(cities, "zip", "left").withColumn("zip_city", F.coalesce("zip_city", F.lit("")))), "address")
         .withColumn("rep", F.xxhash64("name", "agency", "address"))
     )
 
@@ -274,12 +274,12 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
         both.withColumn("rep", F.xxhash64("name", "agency", "address")).select("side", "id", "rep")
     )
     sides = members.select("rep", "side").distinct()
-    reps = cut(described.where("rare != '' OR common != '' OR number != ''").join(sides, "rep"))
+    reps = cut(described.where("rare != '' OR common != '' OR number != ''").join(big(sides), "rep"))
     candidates = neighbours(sort_rows(reps))
     fields = F.struct(*NAME_PARTS, *ADDRESS_PARTS, "body")
     facts = reps.select("rep", fields.alias("f")).dropDuplicates(["rep"])
-    pairs = candidates.join(facts.select(F.col("rep").alias("left"), F.col("f").alias("x")), "left").join(
-        facts.select(F.col("rep").alias("right"), F.col("f").alias("y")), "right"
+    pairs = candidates.join(big(facts.select(F.col("rep").alias("left"), F.col("f").alias("x"))), "left").join(
+        big(facts.select(F.col("rep").alias("right"), F.col("f").alias("y"))), "right"
     )
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,9 +292,9 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
     told = scored
     for side in ("left", "right"):
         told = told.join(
-            facts_small.select(
+            big(facts_small.select(
                 F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("number", "rare", "kind")]
-            ),
+            )),
             side,
         )
 
@@ -329,8 +329,8 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
     ids = members.select("side", "id", "rep")
     return (
         kept.select("left", "right", "confidence")
-        .join(ids.where("side = 0").select(F.col("rep").alias("left"), F.col("id").alias("left_id")), "left")
-        .join(ids.where("side = 1").select(F.col("rep").alias("right"), F.col("id").alias("right_id")), "right")
+        .join(big(ids.where("side = 0").select(F.col("rep").alias("left"), F.col("id").alias("left_id"))), "left")
+        .join(big(ids.where("side = 1").select(F.col("rep").alias("right"), F.col("id").alias("right_id"))), "right")
         .select("left_id", "right_id", "confidence")
     )
 

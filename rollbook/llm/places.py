@@ -26,7 +26,7 @@ from rollbook.llm.pieces import (
     words_agree,
     zip_cities,
 )
-from rollbook.session import cut
+from rollbook.session import big, cut
 
 #: Share of an address's letter pairs that a fuller wording of it holds at least: two slips in a name of eight letters leave a third.
 CONTAINED = 1 / 3
@@ -103,7 +103,7 @@ def place_links(addresses: DataFrame) -> DataFrame:
         return (x != "") & (y != "") & (x != y)
 
     hits = (
-        index.join(probe, ["number", "pair"])
+        index.join(big(probe), ["number", "pair"])
         .where((F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("a") < F.col("b"))))
         .where(~clash("direction") & ~clash("stype") & ~clash("mark") & ~clash("zip"))
         .where(F.levenshtein(F.col("pa.street"), F.col("pb.street"), 4) >= 0)
@@ -150,7 +150,7 @@ def _with_doubt(links: DataFrame) -> DataFrame:
     )
     marked = links.select("a", "b")
     for side in ("a", "b"):
-        marked = marked.join(doubt.select(F.col("text").alias(side), F.lit(True).alias(f"torn_{side}")), side, "left")
+        marked = marked.join(big(doubt.select(F.col("text").alias(side), F.lit(True).alias(f"torn_{side}"))), side, "left")
     return marked.select("a", "b", F.coalesce("torn_a", "torn_b", F.lit(False)).alias("doubtful"))
 
 
@@ -167,15 +167,15 @@ def same_place(records: DataFrame, key: str = "record_id", address: str = "addre
     links = place_links(rows)
     left = rows.select(F.col("id").alias("ia"), F.col("address").alias("a"), F.col("name").alias("na"))
     right = rows.select(F.col("id").alias("ib"), F.col("address").alias("b"), F.col("name").alias("nb"))
-    sure = links.where("NOT doubtful").join(left, "a").join(right, "b").select("ia", "ib")
+    sure = links.where("NOT doubtful").join(big(left), "a").join(big(right), "b").select("ia", "ib")
     pieces = name_pieces(rows.where("name != ''"))
     told = pieces.select(F.col("name"), F.struct("rare", "common").alias("w"))
     torn = (
         links.where("doubtful")
-        .join(left, "a")
-        .join(right, "b")
-        .join(told.select(F.col("name").alias("na"), F.col("w").alias("wa")), "na")
-        .join(told.select(F.col("name").alias("nb"), F.col("w").alias("wb")), "nb")
+        .join(big(left), "a")
+        .join(big(right), "b")
+        .join(big(told.select(F.col("name").alias("na"), F.col("w").alias("wa"))), "na")
+        .join(big(told.select(F.col("name").alias("nb"), F.col("w").alias("wb"))), "nb")
         .select("ia", "ib", "wa", "wb")
     )
 

@@ -27,7 +27,7 @@ from rollbook.llm.pieces import (
     said,
     words_agree,
 )
-from rollbook.session import cut
+from rollbook.session import big, cut
 
 #: Similarity of piece sets: two slips in a word of twelve letters leave about a third.
 LIKE = 0.3
@@ -45,8 +45,8 @@ def distinct_names(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """``rep, name, agency`` and pieces of each distinct pair of name and agency texts."""
     reps = rows.select("name", "agency").distinct()
     return (
-        reps.join(name_pieces(reps), "name")
-        .join(agency_keys(reps, refs), "agency")
+        reps.join(big(name_pieces(reps)), "name")
+        .join(big(agency_keys(reps, refs)), "agency")
         .withColumn("rep", F.xxhash64("name", "agency"))
         .withColumn("key", F.when(F.col("rare") != "", F.col("rare")).otherwise(F.col("common")))
     )
@@ -92,10 +92,12 @@ def name_score(x: dict, y: dict) -> float:
 
 def name_links(reps: DataFrame) -> DataFrame:
     """Links between names that may be one property: ``a, b, fa, fb`` (reps and their fields), a < b."""
+    facts = reps.select("rep", F.struct(*FIELDS).alias("f"))
+    # Only what the filters need travels with each piece.
     base = cut(piece_index(reps)).select(
         "rep",
-        F.struct(*FIELDS).alias("f"),
         F.col("topic"),
+        "phase",
         # Bodies outside the reference list may be misspelt themselves: one block.
         F.when(F.col("body").startswith("~"), "~").otherwise(F.col("body")).alias("block"),
         F.size("pieces").alias("n"),
@@ -106,7 +108,7 @@ def name_links(reps: DataFrame) -> DataFrame:
     def side(df: DataFrame, s: str) -> DataFrame:
         return df.select(
             "piece",
-            *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "f", "topic", "block", "n", "key", "i")],
+            *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "topic", "phase", "block", "n", "key", "i")],
         )
 
     full = base.where("topic != '' AND block != ''")
@@ -125,29 +127,28 @@ def name_links(reps: DataFrame) -> DataFrame:
         on = [x["piece"] == y["piece"]] + [x[f"{c}_x"] == y[f"{c}_y"] for c in blocks]
         shared = F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y")) + F.least("i_x", "i_y")
         hits = (
-            x.join(y, on)
-            .where(F.col("rep_x") != F.col("rep_y"))
+            x.join(big(y), on)
+            .where(F.col("rep_x") < F.col("rep_y") if left is right else F.col("rep_x") != F.col("rep_y"))
             .where(
                 (F.col("n_x") >= LIKE * F.col("n_y"))
                 & (F.col("n_y") >= LIKE * F.col("n_x"))
                 & (shared >= LIKE / (1 + LIKE) * (F.col("n_x") + F.col("n_y")))
             )
-            .where(F.col("f_x.phase") == F.col("f_y.phase"))
+            .where(F.col("phase_x") == F.col("phase_y"))
             .where(
                 (F.levenshtein(F.col("key_x"), F.col("key_y"), 4) >= 0)
                 | (F.col("topic_x") == "")
                 | (F.col("topic_y") == "")
             )
         )
-        swap = F.col("rep_x") > F.col("rep_y")
-        pairs = hits.select(
-            F.when(swap, F.col("rep_y")).otherwise(F.col("rep_x")).alias("a"),
-            F.when(swap, F.col("rep_x")).otherwise(F.col("rep_y")).alias("b"),
-            F.when(swap, F.col("f_y")).otherwise(F.col("f_x")).alias("fa"),
-            F.when(swap, F.col("f_x")).otherwise(F.col("f_y")).alias("fb"),
-        )
+        pairs = hits.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
         found = pairs if found is None else found.unionByName(pairs)
-    candidates = found.groupBy("a", "b").agg(F.first("fa").alias("fa"), F.first("fb").alias("fb"))
+    candidates = (
+        found.distinct()
+        .join(big(facts.select(F.col("rep").alias("a"), F.col("f").alias("fa"))), "a")
+        .join(big(facts.select(F.col("rep").alias("b"), F.col("f").alias("fb"))), "b")
+        .select("a", "b", "fa", "fb")
+    )
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -157,7 +158,7 @@ def name_links(reps: DataFrame) -> DataFrame:
             ]
             yield pdf[keep][["a", "b", "fa", "fb"]]
 
-    kind = base.schema["f"].dataType.simpleString()
+    kind = facts.schema["f"].dataType.simpleString()
     return candidates.mapInPandas(verify, f"a long, b long, fa {kind}, fb {kind}")
 
 
@@ -197,7 +198,7 @@ def same_property(
     ).where(F.trim("name") != "")
     reps = cut(distinct_names(rows, refs).where("key != ''"))
     links = cut(name_links(reps))
-    members = cut(rows.join(reps.select("rep", "name", "agency"), ["name", "agency"]).select("id", "rep", "address"))
+    members = cut(rows.join(big(reps.select("rep", "name", "agency")), ["name", "agency"]).select("id", "rep", "address"))
 
     both = links.select("a", "b", "fa", "fb").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("fb").alias("fa"), F.col("fa").alias("fb"))
@@ -211,11 +212,11 @@ def same_property(
     per_name = options.groupBy("a").agg(F.count("*").alias("n"))
     torn = per_name.where("n > 1").select(F.col("a").alias("rep"))
     # Torn names go by record: the sign whose records lie at the record's own place.
-    placed = _by_address(options.join(torn.select(F.col("rep").alias("a")), "a", "left_semi"), members)
+    placed = _by_address(options.join(big(torn.select(F.col("rep").alias("a"))), "a", "left_semi"), members)
     # Every record ends in one group of names: its name, or for a torn name its own choice.
     settled = (
-        members.join(torn.withColumn("torn", F.lit(True)), "rep", "left")
-        .join(placed, ["id", "rep"], "left")
+        members.join(big(torn.withColumn("torn", F.lit(True))), "rep", "left")
+        .join(big(placed), ["id", "rep"], "left")
         .select("id", "rep", F.col("torn").isNotNull().alias("torn"), F.col("sign").alias("chosen"))
     )
     a, b = (
@@ -226,10 +227,10 @@ def same_property(
     )
     pairs = links.select("a", "b", _sign("fa").alias("sa"), _sign("fb").alias("sb"), _open("fa").alias("oa"), _open("fb").alias("ob"))
     # Names that are open but fit one property only take its sign.
-    single = options.join(per_name.where("n = 1").select("a"), "a", "left_semi").select(F.col("a").alias("rep"), F.col("sign").alias("only"))
+    single = options.join(big(per_name.where("n = 1").select("a")), "a", "left_semi").select(F.col("a").alias("rep"), F.col("sign").alias("only"))
     for s in "ab":
-        pairs = pairs.join(single.select(F.col("rep").alias(s), F.col("only").alias(f"only_{s}")), s, "left")
-    final = pairs.join(a, "a").join(b, "b")
+        pairs = pairs.join(big(single.select(F.col("rep").alias(s), F.col("only").alias(f"only_{s}"))), s, "left")
+    final = pairs.join(big(a), "a").join(big(b), "b")
 
     def told(s: str):
         return F.when(F.col(f"torn_{s}"), F.col(f"chosen_{s}")).otherwise(
@@ -254,16 +255,16 @@ def _by_address(options: DataFrame, members: DataFrame) -> DataFrame:
     pieces = address_pieces(members.where("address != ''"))
     parts = ("number", "direction", "mark", "street", "stype", "city", "zip")
     where = pieces.where("number != ''").select("address", F.struct(*parts).alias("parts"))
-    own = members.join(options.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi").join(where, "address")
+    own = members.join(big(options.select(F.col("a").alias("rep")).distinct()), "rep", "left_semi").join(big(where), "address")
     other = (
         options.select("a", "sign", F.explode("of").alias("b"))
-        .join(members.select(F.col("rep").alias("b"), F.col("address")).distinct(), "b")
-        .join(where, "address")
+        .join(big(members.select(F.col("rep").alias("b"), F.col("address")).distinct()), "b")
+        .join(big(where), "address")
         .select("a", "sign", F.col("parts").alias("other"))
         .distinct()
     )
     candidates = own.select("id", "rep", "parts").join(
-        other, (own["rep"] == other["a"]) & (F.col("parts.number") == F.col("other.number"))
+        big(other), (own["rep"] == other["a"]) & (F.col("parts.number") == F.col("other.number"))
     ).select("id", "rep", "sign", "parts", "other")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

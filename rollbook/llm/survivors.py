@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.times import iso_second, iso_text
-from rollbook.session import cut
+from rollbook.session import big, cut
 
 LEVELS = ("high", "medium", "low")
 #: Sources are few (adapters, feeds); their quality numbers fit the driver.
@@ -141,7 +141,7 @@ def judged_values(
     values = (
         stated.groupBy("group", "field", "value")
         .agg(F.array_sort(F.collect_set("source")).alias("stated"))
-        .join(covering, ["group", "field"])
+        .join(big(covering), ["group", "field"])
         .select("group", "field", "value", "stated", F.array_except("covering", "stated").alias("silent"))
     )
     patterns = cut(values.groupBy("stated", "silent").agg(F.count("*").alias("n")))

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.session import big
+
 #: Fixed value: the pattern that splits text before the merges of these vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FOLDER = "/opt/tokenizers"
@@ -142,7 +144,7 @@ def encode_corpus(
     cuts = chunk_marks(unique.select("doc", "text", "n"), chunk, overlap)
     starts = F.concat(F.array(F.lit(0)), F.coalesce("cuts", F.array().cast("array<int>")))
     pieces = (
-        unique.join(cuts, "doc", "left")
+        unique.join(big(cuts), "doc", "left")
         .select("doc", "text", "n", F.posexplode(F.arrays_zip(starts.alias("a"), F.concat(F.coalesce("cuts", F.array().cast("array<int>")), F.array(F.col("n"))).alias("b"))).alias("k", "piece"))
         .select("doc", "k", F.expr("substring(text, piece.a + 1, piece.b - piece.a)").alias("part"))
     )
@@ -152,7 +154,7 @@ def encode_corpus(
         .agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
         .select("doc", F.flatten("parts.ids").alias("ids"))
     )
-    stitched = long.select("doc_key", "doc").join(whole, "doc").select(F.col("doc_key").alias(key), "ids")
+    stitched = long.select("doc_key", "doc").join(big(whole), "doc").select(F.col("doc_key").alias(key), "ids")
     return short.unionByName(stitched)
 
 
