@@ -246,6 +246,12 @@ def text_lines(spark, directory):
     return docs.lines_of(table(spark, directory, "documents"), "doc_id", "text").where(F.col("line").rlike(r"^[\x20-\x7e]*$"))
 
 
+@query()
+def document_lines(spark, directory):
+    """All lines of texts, white space collapsed; no SQL, as DuckDB's white space is that of ASCII."""
+    return docs.lines_of(table(spark, directory, "documents"), "doc_id", "text")
+
+
 @query()
 def line_records(spark, directory):
     """Contacts and addresses found in lines of texts."""
@@ -269,22 +275,33 @@ def _clean_sql(c: str) -> str:
     return f"trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g'))"
 
 
-@query(
-    f"""SELECT row_id, {_clean_sql('property_name')} AS property_name, 'https://x.example/p/' || row_id AS url, nullif({_clean_sql('address')}, '') AS address FROM mirror_records
-    WHERE {_clean_sql('property_name')} <> '' AND NOT regexp_matches(coalesce(property_name, '') || coalesce(address, ''), '[^ -~\\s]')"""
-)
-def html_cards(spark, directory):
+def cards_of(mirror):
     """Directory cards made of mirror records, read back from HTML."""
-    ascii_only = F.concat(X.said(F.col("property_name")), X.said(F.col("address"))).rlike(r"^[\x20-\x7e\s]*$") & (F.trim(X.said(F.col("property_name"))) != "")
     card = F.concat(
         F.lit('<div class="prop-box"><span class="prop-flag">Now Leasing</span><h3 class="prop-title"><a href="/p/'), F.col("row_id").cast("string"), F.lit('">'), _escaped("property_name"),
         F.lit('</a></h3><p class="block-desc">'), _escaped("address"), F.lit("</p></div>"),
     )
-    html = table(spark, directory, "mirror_records").where(ascii_only).select(F.col("row_id").alias("page_id"), F.lit("https://x.example/list").alias("url"), card.alias("html"))
+    html = mirror.select(F.col("row_id").alias("page_id"), F.lit("https://x.example/list").alias("url"), card.alias("html"))
     r = pages.page_records(html, "alta")
     return r.select(F.col("page_id").alias("row_id"), F.col("record")["property_name"].alias("property_name"), F.col("record")["url"].alias("url"), F.col("record")["address"].alias("address"))
 
 
+@query(
+    f"""SELECT row_id, {_clean_sql('property_name')} AS property_name, 'https://x.example/p/' || row_id AS url, nullif({_clean_sql('address')}, '') AS address FROM mirror_records
+    WHERE {_clean_sql('property_name')} <> '' AND NOT regexp_matches(coalesce(property_name, '') || coalesce(address, ''), '[^ -~\\s]')"""
+)
+def html_cards(spark, directory):
+    """Directory cards of mirror records in ASCII."""
+    ascii_only = F.concat(X.said(F.col("property_name")), X.said(F.col("address"))).rlike(r"^[\x20-\x7e\s]*$") & (F.trim(X.said(F.col("property_name"))) != "")
+    return cards_of(table(spark, directory, "mirror_records").where(ascii_only))
+
+
+@query()
+def mirror_cards(spark, directory):
+    """Directory cards of all named mirror records; no SQL, as DuckDB's white space is that of ASCII."""
+    return cards_of(table(spark, directory, "mirror_records").where(X.stripped(F.col("property_name")) != ""))
+
+
 @query(
     """SELECT record_id, CASE WHEN trim(property_name) = '' THEN NULL ELSE regexp_replace(property_name, '^\\s+|\\s+$', '', 'g') END AS property_name,
     regexp_replace(coalesce(phone, ''), '^\\s+|\\s+$', '', 'g') AS phone, CASE lower(status) WHEN 'closed' THEN 'closed' ELSE 'open' END AS listing_status

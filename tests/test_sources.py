@@ -1,7 +1,9 @@
 import json
+import re
 
 import pytest
 
+from rollbook.plans import catalog
 from rollbook.sources import documents as docs
 from rollbook.sources import feeds, pages, registry
 
@@ -148,3 +150,14 @@ def test_documents(spark):
     from pyspark.sql import functions as F
 
     assert [r[0] for r in pdf.select(docs.is_pdf(F.col("b"), F.col("c"))).collect()] == [True, False, True]
+
+
+def test_every_line_and_card_whatever_its_signs(spark, tmp_path):
+    texts = [None, "", " 　 ", "plain  ascii\r\n\n x", "Danh sách chờ  mở\n候补　名单", "“List” — 5½ weeks\n \n🏠 Oak", "Приём\tзаявлений"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = sorted((i, n, " ".join(line.split())) for i, t in enumerate(texts) for n, line in enumerate(re.split(r"\r?\n", t or "")) if line.split())
+    assert sorted((r.doc_id, r.n, r.line) for r in catalog.QUERIES["document_lines"](spark, str(tmp_path)).collect()) == wanted
+    names = [None, "", "  ", "Oak  House", "Peña Court", "“Elm” — <Homes>", "候补"]
+    spark.createDataFrame([(i, n, n) for i, n in enumerate(names)], "row_id long, property_name string, address string").write.parquet(f"{tmp_path}/mirror_records.parquet")
+    wanted = sorted((i, " ".join(n.split()), f"https://x.example/p/{i}", " ".join(n.split())) for i, n in enumerate(names) if n and n.split())
+    assert sorted(tuple(r) for r in catalog.QUERIES["mirror_cards"](spark, str(tmp_path)).collect()) == wanted
