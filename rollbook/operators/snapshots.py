@@ -120,13 +120,12 @@ def snapshot_changes(
     runs = full_runs(run_history)
     known = {int(r.replace("T", "")): r for r in runs}
     longs = sorted(known)
-    fails = (
+    failed = (
         run_outcomes.where("had_error")
         .select(F.col("authority").alias("source"), _as_long(F.trim("run_id")).alias("run"))
         .where(F.col("run").isin(longs) if longs else F.lit(False))
-        .groupBy("source")
-        .agg(F.array_join(F.array_sort(F.collect_set("run")), ",").alias("fails"))
     )
+    fails = failed.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("run")), ",").alias("fails"))
     seen = iso_second(F.col("last_seen"))
     present = snapshots.where(F.col("run_id").isin(runs) if runs else F.lit(False)).where(
         F.col(entity).isNotNull() & (seen >= run_start(F.col("run_id")))
@@ -157,12 +156,14 @@ def snapshot_changes(
     )
     if not with_values:
         return changes
-    return _with_values(changes, present, fails, runs, entity, watched)
+    return _with_values(changes, present, failed, entity, watched)
 
 
-def _with_values(changes, present, fails, runs, entity, watched):
-    """Values of changed keys before and after; only rows of changed keys travel."""
-    del fails
+def _with_values(changes, present, failed, entity, watched):
+    """Values of changed keys before and after; only rows of changed keys travel.
+
+    As in the comparison, a row counts by its source: where that failed in the run, the state before holds.
+    """
     changed = changes.where("change_type = 'CHANGED'").select("run_id", entity)
     keys = changed.select(entity).distinct()
     rows = (
@@ -170,9 +171,11 @@ def _with_values(changes, present, fails, runs, entity, watched):
         .groupBy(entity, "run_id")
         .agg(
             F.max(
-                F.struct("loaded_at", F.xxhash64(*[folded(F.col(c)) for c in watched]).alias("h"), *watched)
+                F.struct("loaded_at", F.xxhash64(*[folded(F.col(c)) for c in watched]).alias("h"), F.col("authority").alias("source"), *watched)
             ).alias("row")
         )
+        .withColumns({"source": F.col("row.source"), "run": _as_long(F.col("run_id"))})
+        .join(failed, ["source", "run"], "left_anti")
     )
     marked = rows.join(changed.withColumn("hit", F.lit(True)), [entity, "run_id"], "left")
     # At most one row for each run is left of an entity.

@@ -85,6 +85,20 @@ def test_values_of_changed_rows(spark):
     assert [(r.listing_id, r.listing_status_before, r.listing_status_after) for r in got] == [(1, "open", "closed")]
 
 
+def test_values_before_a_failed_run(spark):
+    """Rows of a run in which their source failed are not the state before, whatever another source says of the listing."""
+    t, later = datetime(2025, 2, 1), datetime(2025, 2, 2)
+    rows = [
+        (RUNS[0], 1, "A", "Oak", "open", "2025-01-01T01:00:00", t), (RUNS[1], 1, "A", "Oak", "closed", "2025-01-08T01:00:00", t), (RUNS[2], 1, "A", "Oak", "closed", "2025-01-15T01:00:00", t),
+        (RUNS[0], 2, "B", "Elm", "open", "2025-01-01T01:00:00", t), (RUNS[1], 2, "B", "Elm", "waitlist", "2025-01-08T01:00:00", t), (RUNS[2], 2, "B", "Elm", "closed", "2025-01-15T01:00:00", t),
+        (RUNS[0], 3, "A", "Ash", "open", "2025-01-01T01:00:00", t), (RUNS[1], 3, "B", "Ash", "waitlist", "2025-01-08T01:00:00", t), (RUNS[1], 3, "A", "Ash", "closed", "2025-01-08T01:00:00", later), (RUNS[2], 3, "A", "Ash", "closed", "2025-01-15T01:00:00", t),
+    ]
+    got = snapshot_changes(*tables(spark, rows, fails=((RUNS[1], "A"),)), with_values=True).collect()
+    assert sorted((r.run_id, r.listing_id, r.listing_status_before, r.listing_status_after) for r in got) == [
+        (RUNS[1], 2, "open", "waitlist"), (RUNS[2], 1, "open", "closed"), (RUNS[2], 2, "waitlist", "closed"), (RUNS[2], 3, "open", "closed"),
+    ]
+
+
 def test_sorted_differences():
     added, removed, changed = _diff_sorted(np.array([1, 3, 5]), np.array([9, 9, 9]), np.array([1, 4, 5]), np.array([9, 9, 8]))
     assert added.tolist() == [False, True, False] and removed.tolist() == [False, True, False] and changed.tolist() == [False, False, True]
