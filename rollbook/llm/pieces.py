@@ -5,17 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.canonical import map_agencies
 from rollbook.llm.parse import Address, alike, distance, parse_address, parse_agency, parse_name
-from rollbook.session import cut
+from rollbook.session import big, cut, shuffle_width
 
 #: A word is common from this share of all names on: so many words at most can be.
 COMMON_SHARE = 1 / 5000
 COMMON_LEAST = 8
 
+#: Slips that the tests of words bear at most.
+SLIPS = 2
+#: Words up to this length are indexed by what is left of them without up to ``SLIPS`` letters, longer ones by their segments.
+SHORT = 24
+
 ADDRESS_SCHEMA = "address string, number string, direction string, mark string, street string, stype string, city string, zip string"
 NAME_SCHEMA = "name string, words array<string>, given string, mark string, ntype string, part string, phase string"
 
@@ -151,6 +157,55 @@ def agency_keys(agencies: DataFrame, refs: DataFrame) -> DataFrame:
     )
 
 
+def _variants(word: str) -> Iterator[str]:
+    """Keys of which two words within ``SLIPS`` slips share at least one.
+
+    A slip (letter added, dropped, changed, or two swapped) is undone by leaving
+    out one letter of either word. It touches two of five segments at most, so one
+    segment of a long word stands whole in the other, as many places off as there are slips.
+    """
+    n = len(word)
+    if n <= SHORT:
+        yield word
+        for i in range(n):
+            one = word[:i] + word[i + 1 :]
+            yield one
+            for j in range(i, n - 1):
+                yield one[:j] + one[j + 1 :]
+    # Pairs of a short and a long word are met among the segments.
+    if n > SHORT - SLIPS:
+        parts = 2 * SLIPS + 1
+        for size in range(n - SLIPS, n + SLIPS + 1):
+            for k in range(parts):
+                begin, end = k * size // parts, (k + 1) * size // parts
+                for at in range(max(0, begin - SLIPS), min(n - (end - begin), begin + SLIPS) + 1):
+                    yield f"{size} {k} {word[at : at + end - begin]}"
+
+
+def near_words(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All pairs of words of the columns ``word`` within ``SLIPS`` slips, equal ones too: ``x, y``.
+
+    Exact: words meet by their variants and are compared then.
+    """
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(w, v) for w in pdf["word"] for v in {xxhash.xxh64_intdigest(t) - (1 << 63) for t in _variants(w)}]
+            yield pd.DataFrame(rows, columns=["word", "v"])
+
+    def variants(words: DataFrame, name: str) -> DataFrame:
+        # Without a number of its own the small input would be one task.
+        spaced = words.select("word").where("word IS NOT NULL").distinct().repartition(shuffle_width(words.sparkSession), "word")
+        return spaced.mapInPandas(spread, "word string, v long").withColumnRenamed("word", name)
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[distance(x, y, SLIPS) <= SLIPS for x, y in zip(pdf["x"], pdf["y"])]]
+
+    met = variants(left, "x").join(big(variants(right, "y")), "v").where(F.levenshtein("x", "y", 2 * SLIPS) >= 0)
+    return met.select("x", "y").distinct().mapInPandas(verify, "x string, y string")
+
+
 def bodies_agree(a: str, b: str) -> bool | None:
     """Whether two bodies are one; None if one says nothing."""
     if not a or not b:

@@ -1,15 +1,14 @@
 """Variant spellings of names typed by people.
 
-A prefix-filtered set-similarity join on the three-letter pieces of a name's rare
-word, inside the name's common word and agency; names without common word and
-records whose agency says nothing join on what they have. Hits are verified by a
-soft weighted similarity of words in which the rare word counts most, and by the
-parts that make properties of their own (phase, senior, family, kind of building).
+An exact join of the names' rare words, and of rare and common word as one, up to two
+slips (``pieces.near_words``), inside the agency; records whose agency says nothing
+join on their words alone. Hits are verified by a soft weighted similarity of words
+in which the rare word counts most, and by the parts that make properties of their
+own (phase, senior, family, kind of building).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,29 +17,23 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.parse import Address
 from rollbook.llm.pieces import (
+    SLIPS,
     address_pieces,
     agency_keys,
     bodies_agree,
     givens_agree,
     name_pieces,
+    near_words,
     place_score,
     said,
     words_agree,
 )
 from rollbook.session import big, cut
 
-#: Similarity of piece sets: two slips in a word of twelve letters leave about a third.
-LIKE = 0.3
 LEAST_SCORE = 0.8
 FIELDS = ("rare", "common", "given", "mark", "ntype", "part", "phase", "body")
 
 
-def pieces_of(word: str) -> list[str]:
-    """Three-letter pieces of a word with its ends marked; letters and digits only."""
-    padded = f"_{''.join(c for c in word if c.isascii() and c.isalnum())}_"
-    return list(dict.fromkeys(padded[k : k + 3] for k in range(max(1, len(padded) - 2))))
-
-
 def distinct_names(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """``rep, name, agency`` and pieces of each distinct pair of name and agency texts."""
     reps = rows.select("name", "agency").distinct()
@@ -52,27 +45,6 @@ def distinct_names(rows: DataFrame, refs: DataFrame) -> DataFrame:
     )
 
 
-def piece_index(reps: DataFrame) -> DataFrame:
-    """Each name with its pieces in order of rarity (``pieces``) and the prefix to join on."""
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(pieces=[pieces_of(w) for w in pdf["key"]])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in reps.schema.fields)
-    with_pieces = reps.mapInPandas(split, f"{schema}, pieces array<string>")
-    # Three of 37 letters, digits and marks: at most 37 ** 3 different pieces.
-    counts = with_pieces.select(F.explode("pieces").alias("p")).groupBy("p").count().collect()
-    rarity = reps.sparkSession.sparkContext.broadcast({r["p"]: r["count"] for r in counts})
-
-    def order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ordered = [sorted(p, key=lambda x: (rarity.value.get(x, 0), x)) for p in pdf["pieces"]]
-            yield pdf.assign(pieces=ordered, prefix=[o[: len(o) - math.ceil(LIKE * len(o)) + 1] for o in ordered])
-
-    return with_pieces.mapInPandas(order, f"{schema}, pieces array<string>, prefix array<string>")
-
-
 def name_score(x: dict, y: dict) -> float:
     """0 where two names are different properties, else the similarity of their words.
 
@@ -93,55 +65,34 @@ def name_score(x: dict, y: dict) -> float:
 def name_links(reps: DataFrame) -> DataFrame:
     """Links between names that may be one property: ``a, b, fa, fb`` (reps and their fields), a < b."""
     facts = reps.select("rep", F.struct(*FIELDS).alias("f"))
-    # Only what the filters need travels with each piece.
-    base = cut(piece_index(reps)).select(
-        "rep",
-        F.col("topic"),
-        "phase",
-        # Bodies outside the reference list may be misspelt themselves: one block.
-        F.when(F.col("body").startswith("~"), "~").otherwise(F.col("body")).alias("block"),
-        F.size("pieces").alias("n"),
-        "key",
-        F.posexplode("prefix").alias("i", "piece"),
-    )
-
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select(
-            "piece",
-            *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "topic", "phase", "block", "n", "key", "i")],
+    base = cut(
+        reps.select(
+            "rep",
+            "rare",
+            "common",
+            F.concat("rare", "common").alias("glued"),
+            "phase",
+            # Bodies outside the reference list may be misspelt themselves: one block.
+            F.when(F.col("body").startswith("~"), "~").otherwise(F.col("body")).alias("block"),
         )
-
-    full = base.where("topic != '' AND block != ''")
-    joins = [
-        # left, right, blocks that must agree
-        (full, full, ("topic", "block")),
-        (base.where("block = '' AND topic != ''"), base.where("topic != ''"), ("topic",)),
-        (base.where("topic = '' AND block != ''"), base.where("block != ''"), ("block",)),
-        (base.where("topic = '' AND block = ''"), base, ()),
-        (base.where("block = ''"), base.where("topic = ''"), ()),
-        (base.where("topic = ''"), base.where("block = ''"), ()),
-    ]
+    )
     found = None
-    for left, right, blocks in joins:
-        x, y = side(left, "x"), side(right, "y")
-        on = [x["piece"] == y["piece"]] + [x[f"{c}_x"] == y[f"{c}_y"] for c in blocks]
-        shared = F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y")) + F.least("i_x", "i_y")
+    # Names agree by their rare words or, parted otherwise, by both words as one; see words_agree.
+    for word, rows in (("rare", base.where("rare != ''")), ("glued", base)):
+        words = rows.select(F.col(word).alias("word"))
+        x, y = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in rows.columns]) for s in "xy")
         hits = (
-            x.join(big(y), on)
-            .where(F.col("rep_x") < F.col("rep_y") if left is right else F.col("rep_x") != F.col("rep_y"))
-            .where(
-                (F.col("n_x") >= LIKE * F.col("n_y"))
-                & (F.col("n_y") >= LIKE * F.col("n_x"))
-                & (shared >= LIKE / (1 + LIKE) * (F.col("n_x") + F.col("n_y")))
-            )
-            .where(F.col("phase_x") == F.col("phase_y"))
+            x.join(big(near_words(words, words)), F.col(f"{word}_x") == F.col("x"))
+            .join(big(y), F.col("y") == F.col(f"{word}_y"))
+            .where("rep_x < rep_y AND phase_x = phase_y AND (block_x = block_y OR block_x = '' OR block_y = '')")
             .where(
-                (F.levenshtein(F.col("key_x"), F.col("key_y"), 4) >= 0)
-                | (F.col("topic_x") == "")
-                | (F.col("topic_y") == "")
+                (F.col("common_x") == "")
+                | (F.col("common_y") == "")
+                | (F.levenshtein("common_x", "common_y", 2 * SLIPS) >= 0)
+                | (F.levenshtein("glued_x", "glued_y", 2 * SLIPS) >= 0)
             )
         )
-        pairs = hits.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
+        pairs = hits.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
         found = pairs if found is None else found.unionByName(pairs)
     candidates = (
         found.distinct()

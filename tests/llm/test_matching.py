@@ -1,13 +1,14 @@
 """Joins on typed text against all-pairs versions on small fixtures."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from rollbook.llm import canonical, linkage, places, spellings
-from rollbook.llm.parse import Address, parse_address
-from rollbook.llm.pieces import bodies_agree, place_score
+from rollbook.llm.parse import Address, distance, parse_address
+from rollbook.llm.pieces import bodies_agree, near_words, place_score
 
 REFS = [("City of Oakland", "OAKCO", "city"), ("Oakland County Housing Authority", "OAKHA", "housing_authority"), ("Fernwood Housing", "FERNH", "nonprofit"), ("Miller & Stone Management Company", "MILSM", "manager")]
 
@@ -103,6 +104,39 @@ def test_names_equal_all_pairs(spark, small):
     assert got <= wanted and len(got) >= 0.98 * len(wanted) > 5
 
 
+def slipped(word, rng, n):
+    for _ in range(n):
+        k = rng.randrange(len(word) or 1)
+        word = rng.choice([word[:k] + word[k + 1 :], word[:k] + rng.choice("abcde") + word[k:], word[:k] + rng.choice("abcde") + word[k + 1 :], word[:k] + word[k + 1 : k + 2] + word[k : k + 1] + word[k + 2 :]])
+    return word
+
+
+def test_near_words_equal_all_pairs(spark):
+    rng = random.Random(1)
+    words = {""}
+    for n in (1, 2, 3, 4, 5, 8, 12, 22, 23, 24, 25, 26, 40) * 4:
+        word = "".join(rng.choice("abcde") for _ in range(n))
+        words |= {word, *(slipped(word, rng, k) for k in (1, 2, 2, 3))}
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = [tuple(r) for r in near_words(df, df).collect()]
+    assert sorted(got) == sorted((x, y) for x in words for y in words if distance(x, y, 2) <= 2)
+
+
+def test_short_names_equal_all_pairs(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in (4, 4, 5, 5, 6, 7, 8, 8) * 4:
+        word = "".join(rng.choice("bcdfgklmnprstvz") for _ in range(n))
+        rows += [(w, common) for common in ("heron", "herno", "") for w in (word, slipped(word, rng, 1), slipped(word, rng, 1), slipped(word, rng, 2))]
+    reps = spark.createDataFrame(
+        [(i, w, c, "", "", "", "", "", "X", w or c, c and "heron") for i, (w, c) in enumerate(rows)],
+        "rep long, rare string, common string, given string, mark string, ntype string, part string, phase string, body string, key string, topic string",
+    )
+    dicts = [r.asDict() for r in reps.collect()]
+    wanted = {(x["rep"], y["rep"]) for x, y in itertools.combinations(dicts, 2) if spellings.name_score(x, y) >= spellings.LEAST_SCORE}
+    assert {(r.a, r.b) for r in spellings.name_links(reps).collect()} == wanted and len(wanted) > 100
+
+
 def test_name_cases(spark):
     rows = [
         (1, "Oakenshire Heron Apartments", "City of Oakland", "1 A Street, X"), (2, "Oakenshre Heron Apts.", "OAKLAND", ""), (3, "Heron Oakenshire Apartments Phase II", "City of Oakland", ""), (4, "Oakenshire Heron Senior Apartments", "City of Oakland", ""),
