@@ -1,10 +1,9 @@
 """Entities of two sources matched without a common key.
 
-Sorted neighbourhood over several composite keys: distinct records of both sources
-are put in one order for each key, and each is compared with its neighbours in a
-sliding window; windows run on across partition borders. Pairs that pass a cheap
-test there are scored by weighted similarities of name, address and agency, and
-the assignment keeps what competes with no better pair.
+Distinct parsed records of both sides meet by exact joins: one house number on
+streets up to two slips, or names up to two slips where a side has no number. Every
+pair that the score can accept is scored by weighted similarities of name, address
+and agency, and the assignment keeps what competes with no better pair.
 
 The assignment is one-to-one between properties, not between records: repeated
 and redelivered records of one property each keep their match. A record whose
@@ -29,6 +28,7 @@ from rollbook.llm.pieces import (
     cities_agree,
     givens_agree,
     name_pieces,
+    near_words,
     said,
     streets_alike,
     words_agree,
@@ -44,18 +44,6 @@ NAME_PARTS = ("rare", "common", "given", "nmark", "ntype", "part", "phase")
 #: Rows looked at to place the borders of sort partitions; results do not depend on them.
 BORDER_SAMPLE = 20_000
 
-#: Composite sort keys. Forward and backward spellings, so that a slip spoils one of them only.
-SORT_KEYS = (
-    ("number", "place", "street"),
-    ("number", "street", "place"),
-    ("number", "teerts", "place"),
-    ("common", "place", "rare"),
-    ("rare", "common", "number"),
-    ("erar", "common", "number"),
-    ("common", "body", "rare"),
-)
-
-
 def _describe(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """Distinct ``name, agency, address`` of both sources with all pieces and ``rep``."""
     reps = rows.select("name", "agency", "address").distinct()
@@ -72,37 +60,28 @@ def _describe(rows: DataFrame, refs: DataFrame) -> DataFrame:
     )
 
 
-def sort_rows(reps: DataFrame) -> DataFrame:
-    """A row for each rep and sort key: ``pass, key, rep`` and what the cheap test needs."""
-    place = F.coalesce(F.nullif(F.col("zip_city"), F.lit("")), F.col("city"))
-    fields = {
-        "number": F.lpad("number", 6, "0"),
-        "street": F.col("street"),
-        "teerts": F.reverse("street"),
-        "place": place,
-        "rare": F.col("rare"),
-        "erar": F.reverse("rare"),
-        "common": F.col("common"),
-        "body": F.col("body"),
-    }
-    needed = {"number": "number", "street": "street", "teerts": "street", "rare": "rare", "erar": "rare", "common": "common"}
-    entries = []
-    for n, names in enumerate(SORT_KEYS):
-        leading = needed.get(names[0])
-        entries.append(
-            F.when(
-                F.col(leading) != "",
-                F.struct(F.lit(n).alias("pass"), F.concat_ws("\u0001", *[fields[x] for x in names]).alias("key")),
-            )
-        )
-    return reps.select(
-        F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"),
-        "rep",
-        "side",
-        F.coalesce(F.col("number").try_cast("int"), F.lit(0)).alias("no"),
-        "rare",
-        "common",
-    ).select("e.pass", "e.key", "rep", "side", "no", "rare", "common")
+def candidates(reps: DataFrame) -> DataFrame:
+    """All pairs of different sides that ``confidence`` may accept: ``left, right``.
+
+    It wants one house number on like streets, or like names where a side has no
+    number; both are exact joins on words up to two slips.
+    """
+    fields = ("rep", "number", "street", "rare", "glued", "zip")
+    base = reps.withColumn("glued", F.concat("rare", "common"))
+    x, y = (base.where(F.col("side") == n).select(*[F.col(c).alias(f"{c}_{s}") for c in fields]) for n, s in enumerate("xy"))
+
+    def joined(x: DataFrame, y: DataFrame, word: str, more: tuple[str, ...] = ()) -> DataFrame:
+        near = near_words(x.select(F.col(f"{word}_x").alias("word")), y.select(F.col(f"{word}_y").alias("word")))
+        on = [F.col("y") == F.col(f"{word}_y")] + [F.col(f"{c}_x") == F.col(f"{c}_y") for c in more]
+        met = x.join(big(near), F.col(f"{word}_x") == F.col("x")).join(big(y), on)
+        return met.where("zip_x = '' OR zip_y = '' OR zip_x = zip_y").select(F.col("rep_x").alias("left"), F.col("rep_y").alias("right"))
+
+    found = joined(x.where("number_x != ''"), y.where("number_y != ''"), "street", ("number",))
+    named_x, named_y = x.where("rare_x != ''"), y.where("rare_y != ''")
+    for word in ("rare", "glued"):
+        found = found.unionByName(joined(named_x.where("number_x = ''"), named_y, word))
+        found = found.unionByName(joined(named_x.where("number_x != ''"), named_y.where("number_y = ''"), word))
+    return found.distinct()
 
 
 def _letters(words: pd.Series) -> np.ndarray:
@@ -119,6 +98,8 @@ def _letters(words: pd.Series) -> np.ndarray:
 def neighbours(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """Pairs of reps of different sides within ``window`` places in any order: ``left, right``.
 
+    A bounded look at likely pairs only; ``match_records`` takes all of ``candidates``.
+
     Each order is cut into ranges by borders taken from a sample (which decides
     only how even the ranges are); every range also gets the first ``window`` rows
     that follow it, so that no pair is lost at a border.
@@ -269,16 +250,23 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
     Records with neither name nor address match nothing. Empty sides give no rows.
     """
     both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
-    described = _describe(both, refs)
+    # Texts of equal pieces are one place; their records follow by ``members``.
+    parts = (*NAME_PARTS, *ADDRESS_PARTS, "body")
+    described = cut(
+        _describe(both, refs)
+        .where("rare != '' OR common != '' OR number != ''")
+        .select(F.col("rep").alias("texts"), F.xxhash64(*parts).alias("rep"), *parts)
+    )
     members = cut(
-        both.withColumn("rep", F.xxhash64("name", "agency", "address")).select("side", "id", "rep")
+        both.withColumn("texts", F.xxhash64("name", "agency", "address"))
+        .join(big(described.select("texts", "rep")), "texts")
+        .select("side", "id", "rep")
     )
     sides = members.select("rep", "side").distinct()
-    reps = cut(described.where("rare != '' OR common != '' OR number != ''").join(big(sides), "rep"))
-    candidates = neighbours(sort_rows(reps))
-    fields = F.struct(*NAME_PARTS, *ADDRESS_PARTS, "body")
+    reps = cut(described.drop("texts").dropDuplicates(["rep"]).join(big(sides), "rep"))
+    fields = F.struct(*parts)
     facts = reps.select("rep", fields.alias("f")).dropDuplicates(["rep"])
-    pairs = candidates.join(big(facts.select(F.col("rep").alias("left"), F.col("f").alias("x"))), "left").join(
+    pairs = candidates(reps).join(big(facts.select(F.col("rep").alias("left"), F.col("f").alias("x"))), "left").join(
         big(facts.select(F.col("rep").alias("right"), F.col("f").alias("y"))), "right"
     )
 
@@ -299,7 +287,7 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
         )
 
     def torn(me: str, other: str):
-        """Whether the partners of ``me`` differ in what ``me`` leaves open; a rep has at most two windows of partners for each key."""
+        """Whether the partners of ``me`` differ in what ``me`` leaves open."""
         mine = Window.partitionBy(me)
 
         def spread(c: str):

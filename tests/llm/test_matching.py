@@ -199,6 +199,26 @@ def test_neighbourhood_finds_what_all_pairs_find(spark, small):
     assert got <= pairs and len(got) >= 0.95 * len(pairs) > 5
 
 
+def test_every_wording_of_a_hot_property_is_compared(spark):
+    """Many units and spellings of one property, more than any window, and records without a number or with a short name."""
+    rng = random.Random(6)
+    streets, names = ["Elmwood Street", "Elmwod St", "Emlwood St.", "ELMWOOD STREET"], ["Oakenshire Heron Apartments", "Oakenshre Heron Apts", "Okaenshire Heron", "Oakenshire Heron Homes"]
+    sides = []
+    for side in range(2):
+        rows = [(i, rng.choice(names), rng.choice(["City of Oakland", "OAKLAND", ""]), f"10 {rng.choice(streets)}, Apt {i}, Gilroy, CA 95020") for i in range(60)]
+        rows += [(100 + i, slipped("oakenshire", rng, 1) + " heron", "", rng.choice(["", f"10 {rng.choice(streets)}", "Gilroy, CA 95020"])) for i in range(40)]
+        rows += [(200 + i, w, "City of Oakland", a) for i, (w, a) in enumerate(itertools.product(["Brad Heron", "Bard Heron", "Barx Heron", "Other Canyon"], ["", f"{20 + side} Pine Road, Napa, 94558", "21 Pine Road, Napa"]))]
+        sides.append(spark.createDataFrame(rows, SIDE))
+    both = sides[0].withColumn("side", F.lit(0)).unionByName(sides[1].withColumn("side", F.lit(1)))
+    described = linkage.cut(linkage._describe(both, refs(spark)).withColumn("rep", F.xxhash64("name", "agency", "address")))
+    facts = {r.rep: r.asDict() for r in described.collect()}
+    sided = both.select("side", F.xxhash64("name", "agency", "address").alias("rep")).distinct()
+    by_side = [[r.rep for r in sided.where(F.col("side") == n).collect()] for n in range(2)]
+    wanted = {(a, b) for a in by_side[0] for b in by_side[1] if linkage.confidence(facts[a], facts[b]) >= linkage.LEAST}
+    got = {(r.left, r.right) for r in linkage.candidates(described.join(sided, "rep")).collect()}
+    assert wanted <= got and len(wanted) > 3000
+
+
 @pytest.mark.parametrize("a,b", [("", ""), ("1 A St", "")])
 def test_empty_addresses(a, b):
     assert place_score(Address(*["" for _ in range(7)]), parse_address(b)) is None
