@@ -194,7 +194,11 @@ def held_share(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]])
     # Fewer words in common than half: no need to align.
     if np.isin(item, text).sum() < HALF * len(item):
         return 0.0
-    found = passages(text, item, hits)[:50]
+    found: list[frozenset[int]] = []
+    # A passage inside a larger one adds nothing to any other.
+    for one in dict.fromkeys(passages(text, item, hits)):
+        if not any(one <= larger for larger in found):
+            found.append(one)
     best = 0
     for k, one in enumerate(found):
         best = max(best, len(one))

@@ -98,6 +98,17 @@ def test_leaks(spark):
     assert leakage.leaks(docs.limit(0), items).count() == 0 and leakage.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_second_passage_behind_many_copies_of_a_formula():
+    """A formula sentence of the item, repeated more often than the passage that completes the half is long."""
+    words = [f"w{k}" for k in range(60)]
+    formula, large, second = words[:12], words[:20], words[40:50]
+    filler = [f"f{k}" for k in range(40)]
+    text = [w for part in ([large] + [formula] * 60 + [second]) for w in part + filler]
+    codes, item = leakage.codes_of(text), leakage.codes_of(words)
+    hits = leakage.ItemIndex([(1, " ".join(words))]).hits(codes)[1]
+    assert leakage.held_share(codes, item, hits) == 0.5
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(6)], "item_id long, text string")
     docs = items.select(F.col("item_id").alias("doc_id"), "text")
