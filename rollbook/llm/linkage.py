@@ -1,18 +1,25 @@
 """Entities of two sources matched without a common key.
 
-Distinct parsed records of both sides meet by exact joins: one house number on
-streets up to two slips, or names up to two slips where a side has no number. Every
-pair that the score can accept is scored by weighted similarities of name, address
-and agency, and the assignment keeps what competes with no better pair.
-
-The assignment is one-to-one between properties, not between records: repeated
-and redelivered records of one property each keep their match. A record whose
-partners are different properties - it leaves open what tells them apart - keeps
-only its most confident ones, within ``SLACK`` of the best.
+Sorted neighbourhood over several composite sort keys: an address key (house number
+and a rare letter pair of the street, then street and name) and two name keys (a rare
+gram of the telling word, or of both words as one, then the name) for records without
+a number. Distinct parsed records of both sides are put in these orders, and a window
+slides over each; it is as long as the leading part of the key stays the same, so
+that, by the prefix principle of ``grams``, every pair the score can accept stands in
+one window. What the window lets through is scored by weighted similarities of name,
+address and agency.
+
+Scored records form components. In each the records of one side that do not
+contradict each other are one property, and the one-to-one assignment of properties
+with the highest total confidence decides what is kept: repeated and redelivered
+records of one property each keep their match. A record that leaves open which of
+several properties of its own side it is keeps its most confident matches, within
+``SLACK`` of the best.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.llm.grams import keys_of, piece_counts, prefixes
+from rollbook.llm.graph import best_assignment, components
 from rollbook.llm.parse import Address
 from rollbook.llm.pieces import (
     address_pieces,
@@ -28,27 +37,32 @@ from rollbook.llm.pieces import (
     cities_agree,
     givens_agree,
     name_pieces,
-    near_words,
     said,
-    streets_alike,
     words_agree,
+    words_alike,
     zip_cities,
 )
-from rollbook.session import big, cut, shuffle_width
+from rollbook.session import big, cut, shuffle_width, spaced
 
-WINDOW = 12
 LEAST = 0.62
 SLACK = 0.02
 ADDRESS_PARTS = ("number", "direction", "mark", "street", "stype", "city", "zip", "zip_city")
 NAME_PARTS = ("rare", "common", "given", "nmark", "ntype", "part", "phase")
-#: Rows looked at to place the borders of sort partitions; results do not depend on them.
-BORDER_SAMPLE = 20_000
+#: Letters in a rare piece of a street and of a name.
+STREET_GRAM, NAME_GRAM = 2, 4
+#: Rows of one leading key in one task; longer runs are cut into blocks, and every two blocks meet.
+RUN = 4096
+#: What tells properties of one component apart, besides the name's words.
+SIGN = ("number", "direction", "mark", "stype", "ntype", "part", "phase")
+#: Leading keys of long runs that may be sent to every task.
+MOST_HOT = 100_000
+
 
 def _describe(rows: DataFrame, refs: DataFrame) -> DataFrame:
-    """Distinct ``name, agency, address`` of both sources with all pieces and ``rep``."""
-    reps = rows.select("name", "agency", "address").distinct()
+    """Distinct ``name, agency, address`` of both sources with all pieces."""
+    reps = cut(rows.select("name", "agency", "address").distinct())
     places = cut(address_pieces(reps))
-    cities = zip_cities(places)
+    cities = F.broadcast(zip_cities(places))  # a row for each five-digit code at most
     return (
         reps.join(
             big(name_pieces(reps).select("name", "rare", "common", "given", F.col("mark").alias("nmark"), "ntype", "part", "phase")),
@@ -56,132 +70,172 @@ def _describe(rows: DataFrame, refs: DataFrame) -> DataFrame:
         )
         .join(big(agency_keys(reps, refs)), "agency")
         .join(big(places.join(cities, "zip", "left").withColumn("zip_city", F.coalesce("zip_city", F.lit("")))), "address")
-        .withColumn("rep", F.xxhash64("name", "agency", "address"))
     )
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """All pairs of different sides that ``confidence`` may accept: ``left, right``.
+def _letters(word: str) -> int:
+    """A signed 64-bit set of neighbouring letters; each slip touches three at most."""
+    bits = 0
+    for k in range(len(word) - 1):
+        bits |= 1 << ((ord(word[k]) * 31 + ord(word[k + 1])) % 64)
+    return bits - (1 << 64) if bits >> 63 else bits
+
 
-    It wants one house number on like streets, or like names where a side has no
-    number; both are exact joins on words up to two slips.
+def sort_rows(reps: DataFrame, longest: int = RUN) -> DataFrame:
+    """A row for each composite key of each record: ``lead, tail`` (the key), ``rep`` and compact marks for the window.
+
+    ``flags`` holds the side (1 left, 2 right, 3 both) and whether the record has no
+    rare word, has a number, and whether the row is of a name order. One leading key
+    may hold any share of the rows: a longer run than ``longest`` is cut into blocks,
+    and each row goes to every two blocks (``one, two``) with its ``own``.
     """
-    fields = ("rep", "number", "street", "rare", "glued", "zip")
-    base = reps.withColumn("glued", F.concat("rare", "common"))
-    x, y = (base.where(F.col("side") == n).select(*[F.col(c).alias(f"{c}_{s}") for c in fields]) for n, s in enumerate("xy"))
-
-    def joined(x: DataFrame, y: DataFrame, word: str, more: tuple[str, ...] = ()) -> DataFrame:
-        near = near_words(x.select(F.col(f"{word}_x").alias("word")), y.select(F.col(f"{word}_y").alias("word")))
-        on = [F.col("y") == F.col(f"{word}_y")] + [F.col(f"{c}_x") == F.col(f"{c}_y") for c in more]
-        met = x.join(big(near), F.col(f"{word}_x") == F.col("x")).join(big(y), on)
-        return met.where("zip_x = '' OR zip_y = '' OR zip_x = zip_y").select(F.col("rep_x").alias("left"), F.col("rep_y").alias("right"))
-
-    found = joined(x.where("number_x != ''"), y.where("number_y != ''"), "street", ("number",))
-    named_x, named_y = x.where("rare_x != ''"), y.where("rare_y != ''")
-    for word in ("rare", "glued"):
-        found = found.unionByName(joined(named_x.where("number_x = ''"), named_y, word))
-        found = found.unionByName(joined(named_x.where("number_x != ''"), named_y.where("number_y = ''"), word))
-    return found.distinct()
-
-
-def _letters(words: pd.Series) -> np.ndarray:
-    """A 64-bit set of neighbouring letters for each word."""
-    out = np.zeros(len(words), np.uint64)
-    for i, w in enumerate(words):
-        bits = 0
-        for k in range(len(w) - 1):
-            bits |= 1 << ((ord(w[k]) * 31 + ord(w[k + 1])) % 64)
-        out[i] = bits
-    return out
+    base = cut(spaced(reps.select("rep", "side", "number", "street", "zip", "rare", "common", "body")))
 
+    def streets(pdf: pd.DataFrame) -> list[str]:
+        return list(pdf["street"].where(pdf["number"] != "", ""))
 
-def neighbours(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Pairs of reps of different sides within ``window`` places in any order: ``left, right``.
+    def words(pdf: pd.DataFrame) -> list[str]:
+        """The rare word of each name, then both words as one."""
+        return list(pdf["rare"]) + list((pdf["rare"] + pdf["common"]).where(pdf["rare"] != "", ""))
 
-    A bounded look at likely pairs only; ``match_records`` takes all of ``candidates``.
+    context = base.sparkSession.sparkContext
+    shared = context.broadcast((piece_counts(base, streets, STREET_GRAM), piece_counts(base, words, NAME_GRAM)))  # bounded, see piece_counts
 
-    Each order is cut into ranges by borders taken from a sample (which decides
-    only how even the ranges are); every range also gets the first ``window`` rows
-    that follow it, so that no pair is lost at a border.
-    """
-    spark = rows.sparkSession
-    width = max(1, shuffle_width(spark) // 2)
-    total = rows.count()
-    every = max(1, total // BORDER_SAMPLE)
-    sample = rows.where(F.pmod(F.xxhash64("rep", "pass"), F.lit(every)) == 0).select("pass", "key").limit(4 * BORDER_SAMPLE).toPandas()
-    borders = {}
-    for n, keys in sample.groupby("pass")["key"]:
-        ordered = np.sort(keys.to_numpy(dtype=object))
-        borders[int(n)] = list(dict.fromkeys(ordered[(np.arange(1, width) * len(ordered)) // width])) if len(ordered) else []
-    shared = spark.sparkContext.broadcast(borders)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def leads_of(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+        """Row and leading key of each order the records stand in; so many of them are of the address order, which come first."""
+        of_street, of_name = shared.value
+        numbers = pd.to_numeric(pdf["number"], errors="coerce").fillna(-1).to_numpy(np.int64)
+        at, piece = prefixes(streets(pdf), STREET_GRAM, of_street)
+        word, gram = prefixes(words(pdf), NAME_GRAM, of_name)
+        lead = np.concatenate([keys_of(numbers[at], piece), keys_of(-1 - word // len(pdf), gram)])
+        return np.concatenate([at, word % len(pdf)]), lead, len(at)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            bucket = np.zeros(len(pdf), np.int32)
-            for n, index in pdf.groupby("pass").indices.items():
-                marks = shared.value.get(int(n), [])
-                if marks:
-                    bucket[index] = np.searchsorted(np.array(marks, dtype=object), pdf["key"].to_numpy(dtype=object)[index], side="right")
-            yield pdf.assign(bucket=bucket)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    placed = cut(rows.mapInPandas(place, f"{schema}, bucket int"))
-    sizes = {(r["pass"], r.bucket): r["count"] for r in placed.groupBy("pass", "bucket").count().collect()}
-    # Where the first rows of a range must be seen, too: ranges before it, as far as the window reaches.
-    hosts = []
-    for n, b in sizes:
-        reach, before = window, b - 1
-        while reach > 0 and before >= 0:
-            if (n, before) in sizes:
-                hosts.append((n, b, before, reach))
-                reach -= sizes[n, before]
-            before -= 1
-    # A host that lies further away sees fewer rows: those between count as well.
-    reached = []
-    for n, b, host, _ in hosts:
-        between = sum(sizes.get((n, k), 0) for k in range(host + 1, b))
-        if window > between:
-            reached.append((n, b, host, window - between))
-    if reached:
-        hosting = F.broadcast(spark.createDataFrame(reached, "pass int, bucket int, host int, upto int"))  # ranges, few
-        ranked = placed.withColumn("nth", F.row_number().over(Window.partitionBy("pass", "bucket").orderBy("key", "rep")))
-        guests = (
-            ranked.where(F.col("nth") <= window)
-            .join(hosting, ["pass", "bucket"])
-            .where("nth <= upto")
-            .drop("nth", "bucket", "upto")
-            .withColumnRenamed("host", "bucket")
-            .withColumn("guest", F.lit(True))
-        )
-        everyone = placed.withColumn("guest", F.lit(False)).unionByName(guests)
+            lead, n = np.unique(leads_of(pdf)[1], return_counts=True)
+            yield pd.DataFrame({"lead": lead, "n": n})
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            index, lead, upto = leads_of(pdf)
+            named = np.arange(len(index)) >= upto
+            zips = pd.to_numeric(pdf["zip"], errors="coerce").fillna(0).to_numpy(np.int64)
+            # 0 says nothing; bodies outside the reference list may be misspelt themselves.
+            body = np.array([0 if not b else 1 if b[0] == "~" else zlib.crc32(b.encode()) for b in pdf["body"]], np.int64)
+            flags = (pdf["side"] + 4 * (pdf["rare"] == "") + 8 * (pdf["number"] != "")).to_numpy(np.int32)
+            tails = [np.array([_first_letters(t) for t in x], np.int64) for x in (pdf["street"], pdf["rare"])]
+            yield pd.DataFrame(
+                {
+                    "lead": lead,
+                    "tail": np.where(named, tails[1][index], tails[0][index]),
+                    "rep": pdf["rep"].to_numpy()[index],
+                    "flags": flags[index] + 16 * named.astype(np.int32),
+                    "part": (zips << 32 | body)[index],
+                    "rare_bits": np.array([_letters(w) for w in pdf["rare"]], np.int64)[index],
+                    "both_bits": np.array([_letters(w) for w in pdf["rare"] + pdf["common"]], np.int64)[index],
+                }
+            )
+
+    rows = base.mapInPandas(spread, "lead long, tail long, rep long, flags int, part long, rare_bits long, both_bits long")
+    hot = cut(
+        base.mapInPandas(count, "lead long, n long").groupBy("lead").agg(F.sum("n").alias("n")).where(F.col("n") > longest).select("lead", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
+    )
+    spare = hot.count()
+    if spare:
+        rows = rows.join(F.broadcast(hot) if spare <= MOST_HOT else big(hot), "lead", "left")
     else:
-        everyone = placed.withColumn("guest", F.lit(False))
-
-    def slide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["guest", "key", "rep"], kind="stable")
-        # Guests may come from several ranges; keys of later ranges are larger.
-        side, rep, no, guest = (pdf[c].to_numpy() for c in ("side", "rep", "no", "guest"))
-        rare = _letters(pdf["rare"])
-        weak = (pdf["rare"] == "").to_numpy() | (pdf["common"] == "").to_numpy()
-        bits = np.bitwise_count(rare).astype(int)
-        found = []
-        for d in range(1, window + 1):
-            if d >= len(pdf):
-                break
-            i = np.nonzero((side[:-d] != side[d:]) & ~guest[:-d])[0]
-            j = i + d
-            shared_bits = np.bitwise_count(rare[i] & rare[j]).astype(int)
-            like = shared_bits >= 0.4 * np.minimum(bits[i], bits[j])
-            number = (no[i] == no[j]) | (no[i] == 0) | (no[j] == 0)
-            word = like & ((bits[i] > 0) & (bits[j] > 0)) | weak[i] | weak[j]
-            ok = number & word
-            i, j = i[ok], j[ok]
-            first = side[i] == 0
-            found.append(np.stack([np.where(first, rep[i], rep[j]), np.where(first, rep[j], rep[i])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["left", "right"])
-
-    return everyone.groupBy("pass", "bucket").applyInPandas(slide, "left long, right long").distinct()
+        rows = rows.withColumn("blocks", F.lit(None).cast("int"))
+    n = F.coalesce("blocks", F.lit(1))
+    return (
+        rows.withColumn("own", F.pmod(F.xxhash64("rep"), n).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+        .withColumn("one", F.least("own", "other"))
+        .withColumn("two", F.greatest("own", "other"))
+        .drop("blocks", "other")
+    )
+
+
+def _first_letters(word: str) -> int:
+    """The first letters of a word as a number in the same order."""
+    return int.from_bytes(word[:7].encode("ascii", "replace").ljust(7, b"\0"))
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether two sets of letter pairs may be those of words two slips apart."""
+    return (np.bitwise_count(a & ~b) <= 6) & (np.bitwise_count(b & ~a) <= 6)
+
+
+def window_pairs(run: dict[str, np.ndarray], most: int = 1 << 20) -> np.ndarray:
+    """Pairs (left, right) that a window lets through which slides over sorted rows as far as ``run`` stays the same.
+
+    Rows without a number come first in a run of the name orders, which are for
+    pairs of which one has none: the window opens at those alone. About ``most``
+    places of the window are looked at at once.
+    """
+    ends = np.searchsorted(run["run"], run["run"], side="right")
+    reach = ends - np.arange(len(ends)) - 1
+    left, right, nameless, numbered, named = (run["flags"] & k > 0 for k in (1, 2, 4, 8, 16))
+    zips, body = run["part"] >> 32, run["part"] & 0xFFFFFFFF
+    reach[named & numbered] = 0
+    total = np.cumsum(reach)
+    found = [np.zeros((0, 2), np.int64)]
+    first = 0
+    while first < len(reach):
+        upto = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + most, side="right")))
+        n = reach[first:upto]
+        i = np.repeat(np.arange(first, upto), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        first = upto
+        ok = (left[i] & right[j]) | (right[i] & left[j])
+        i, j = i[ok], j[ok]
+        ok = (body[i] == body[j]) | (body[i] == 0) | (body[j] == 0)
+        ok &= (zips[i] == zips[j]) | (zips[i] == 0) | (zips[j] == 0)
+        i, j = i[ok], j[ok]
+        ok = (run["own"][i] != run["own"][j]) | (run["one"][i] == run["two"][i])
+        ok &= nameless[i] | nameless[j] | _near(run["rare_bits"][i], run["rare_bits"][j]) | _near(run["both_bits"][i], run["both_bits"][j])
+        i, j = i[ok], j[ok]
+        for x, y in ((i, j), (j, i)):
+            fit = left[x] & right[y]
+            found.append(np.unique(np.stack([run["rep"][x[fit]], run["rep"][y[fit]]], 1), axis=0))
+    both = run["rep"][left & right]
+    found.append(np.stack([both, both], 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def candidates(reps: DataFrame, longest: int = RUN) -> DataFrame:
+    """All pairs of different sides that ``confidence`` may accept: ``left, right``, each once."""
+    rows = sort_rows(reps, longest)
+    keys = ("lead", "one", "two")
+    # Within a key, records without a number come first, see window_pairs.
+    ordered = rows.repartition(shuffle_width(rows.sparkSession), *keys).sortWithinPartitions(*keys, F.col("flags").bitwiseAND(8), "tail", "rep").drop("tail")
+    names = [c for c in ordered.columns]
+
+    def slide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: pd.DataFrame | None = None
+
+        def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
+            # Bits of a negative number would be counted without its sign.
+            run = {c: pdf[c].to_numpy().view(np.uint64) if c.endswith("_bits") else pdf[c].to_numpy() for c in names}
+            changed = np.zeros(len(pdf), bool)
+            for c in keys:
+                changed[1:] |= run[c][1:] != run[c][:-1]
+            run["run"] = np.cumsum(changed)
+            return pd.DataFrame(window_pairs(run), columns=["left", "right"])
+
+        for pdf in batches:
+            pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            # The last run may go on in the next batch.
+            last = pdf.iloc[-1]
+            open_run = ((pdf["lead"] == last["lead"]) & (pdf["one"] == last["one"]) & (pdf["two"] == last["two"])).to_numpy()
+            kept = pdf[open_run]
+            if not open_run.all():
+                yield pairs_of(pdf[~open_run])
+        if kept is not None and len(kept):
+            yield pairs_of(kept)
+
+    return ordered.mapInPandas(slide, "left long, right long").distinct()
 
 
 def confidence(x: dict, y: dict) -> float:
@@ -223,7 +277,7 @@ def confidence(x: dict, y: dict) -> float:
         return 0.0
     at = False
     if a.number and b.number:
-        if a.number != b.number or not streets_alike(a.street, b.street):
+        if a.number != b.number or not words_alike(a.street, b.street):
             return 0.0
         for p, q in ((a.direction, b.direction), (a.type, b.type), (a.mark, b.mark)):
             if p and q and p != q:
@@ -242,6 +296,103 @@ def confidence(x: dict, y: dict) -> float:
     return round(min(score, 1.0), 4)
 
 
+def _compatible(x: list[str], y: tuple[str, ...]) -> bool:
+    """Whether two signs can be of one property; a missing part says nothing, but a phase told by one alone does unless a name is cut down."""
+    if any(a and b and a != b for a, b in zip(x[:5], y[:5])):
+        return False
+    if not any(x[4:]) or not any(y[4:]):
+        return True
+    return x[5:] == list(y[5:])
+
+
+def properties(signs: dict[str, float]) -> tuple[list[list[str]], set[str]]:
+    """The signs of one side of a component as properties, and the signs that leave open which of several they are.
+
+    Signs that say most come first; each joins the one property it does not
+    contradict, or makes one of its own. Among those that say as much the more confident come first.
+    """
+    told = sorted(signs, key=lambda s: (-sum(bool(p) for p in s.split("|")), -signs[s], s))
+    groups: list[tuple[list[str], list[str]]] = []
+    torn = set()
+    for sign in told:
+        parts = tuple(sign.split("|"))
+        fits = [g for g in groups if _compatible(g[0], parts)]
+        if len(fits) > 1:
+            torn.add(sign)
+        elif fits:
+            profile, members = fits[0]
+            members.append(sign)
+            profile[:] = [a or b for a, b in zip(profile, parts)]
+        else:
+            groups.append((list(parts), [sign]))
+    return [m for _, m in groups], torn
+
+
+def assign(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, bool, bool]]:
+    """What a component keeps of its matches between signs, ``(left, right, left is torn, right is torn)``: those of the assignment of properties, and all of torn signs."""
+    tops: tuple[dict[str, float], dict[str, float]] = ({}, {})
+    for x, y, best in edges:
+        tops[0][x] = max(best, tops[0].get(x, 0.0))
+        tops[1][y] = max(best, tops[1].get(y, 0.0))
+    (lefts, torn_left), (rights, torn_right) = properties(tops[0]), properties(tops[1])
+    row = {s: k for k, g in enumerate(lefts) for s in g}
+    column = {s: k for k, g in enumerate(rights) for s in g}
+    weight = np.zeros((len(lefts), len(rights)))
+    for x, y, best in edges:
+        if x in row and y in column:
+            weight[row[x], column[y]] = max(weight[row[x], column[y]], best)
+    chosen = set(best_assignment(weight))
+    out = []
+    for x, y, _ in edges:
+        torn = x in torn_left, y in torn_right
+        if any(torn) or (row[x], column[y]) in chosen:
+            out.append((x, y, *torn))
+    return out
+
+
+def assigned(scored: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs ``left, right, confidence`` of ``scored`` that the assignment keeps; ``signs`` has ``rep, sign``.
+
+    A component goes to one task as its different pairs of signs only, however many records it has.
+    """
+    comps = components(scored.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    told = scored.join(big(comps.select(F.col("node").alias("left"), "component")), "left")
+    for side in ("left", "right"):
+        told = told.join(big(signs.select(F.col("rep").alias(side), F.col("sign").alias(f"sign_{side}"))), side)
+    told = cut(told)
+    groups = told.groupBy("component", "sign_left", "sign_right").agg(F.max("confidence").alias("best"))
+    ordered = groups.repartition(shuffle_width(scored.sparkSession), "component").sortWithinPartitions("component", "sign_left", "sign_right")
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, edges, names = None, [], ["component", "sign_left", "sign_right", "torn_left", "torn_right"]
+        for pdf in batches:
+            rows = []
+            for component, x, y, best in pdf[["component", "sign_left", "sign_right", "best"]].itertuples(index=False):
+                if component != now:
+                    rows += [(now, *k) for k in assign(edges)]
+                    now, edges = component, []
+                edges.append((x, y, best))
+            yield pd.DataFrame(rows, columns=names)
+        yield pd.DataFrame([(now, *k) for k in assign(edges)], columns=names)
+
+    kept = told.join(
+        big(ordered.mapInPandas(solve, "component long, sign_left string, sign_right string, torn_left boolean, torn_right boolean")), ["component", "sign_left", "sign_right"]
+    )
+    best = kept.select(
+        "left",
+        "right",
+        "confidence",
+        "torn_left",
+        "torn_right",
+        F.max("confidence").over(Window.partitionBy("left")).alias("best_left"),
+        F.max("confidence").over(Window.partitionBy("right")).alias("best_right"),
+    )
+    return best.where(
+        (~F.col("torn_left") | (F.col("confidence") >= F.col("best_left") - SLACK))
+        & (~F.col("torn_right") | (F.col("confidence") >= F.col("best_right") - SLACK))
+    ).select("left", "right", "confidence")
+
+
 def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFrame:
     """Matching pairs of two sources: ``left_id, right_id, confidence``.
 
@@ -249,23 +400,22 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
     columns are ignored. Equal records are compared once and all keep their match.
     Records with neither name nor address match nothing. Empty sides give no rows.
     """
-    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
-    # Texts of equal pieces are one place; their records follow by ``members``.
+    both = left.select("id", "name", "agency", "address", F.lit(1).alias("side")).unionByName(
+        right.select("id", "name", "agency", "address", F.lit(2).alias("side"))
+    )
+    # Texts of equal pieces are one record of the orders; their ids follow by ``members``.
     parts = (*NAME_PARTS, *ADDRESS_PARTS, "body")
     described = cut(
         _describe(both, refs)
         .where("rare != '' OR common != '' OR number != ''")
-        .select(F.col("rep").alias("texts"), F.xxhash64(*parts).alias("rep"), *parts)
+        .select(F.xxhash64("name", "agency", "address").alias("texts"), F.xxhash64(*parts).alias("rep"), *parts)
     )
     members = cut(
-        both.withColumn("texts", F.xxhash64("name", "agency", "address"))
-        .join(big(described.select("texts", "rep")), "texts")
-        .select("side", "id", "rep")
+        both.select("side", "id", F.xxhash64("name", "agency", "address").alias("texts")).join(big(described.select("texts", "rep")), "texts").select("side", "id", "rep")
     )
-    sides = members.select("rep", "side").distinct()
+    sides = members.groupBy("rep").agg(F.expr("bit_or(side)").alias("side"))
     reps = cut(described.drop("texts").dropDuplicates(["rep"]).join(big(sides), "rep"))
-    fields = F.struct(*parts)
-    facts = reps.select("rep", fields.alias("f")).dropDuplicates(["rep"])
+    facts = reps.select("rep", F.struct(*parts).alias("f"))
     pairs = candidates(reps).join(big(facts.select(F.col("rep").alias("left"), F.col("f").alias("x"))), "left").join(
         big(facts.select(F.col("rep").alias("right"), F.col("f").alias("y"))), "right"
     )
@@ -276,49 +426,10 @@ def match_records(left: DataFrame, right: DataFrame, refs: DataFrame) -> DataFra
             yield out[out["confidence"] >= LEAST]
 
     scored = cut(pairs.select("left", "right", "x", "y").mapInPandas(score, "left long, right long, confidence double"))
-    facts_small = reps.select("rep", "number", "rare", F.concat_ws(" ", "ntype", "part", "phase").alias("kind")).dropDuplicates(["rep"])
-    told = scored
-    for side in ("left", "right"):
-        told = told.join(
-            big(facts_small.select(
-                F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("number", "rare", "kind")]
-            )),
-            side,
-        )
-
-    def torn(me: str, other: str):
-        """Whether the partners of ``me`` differ in what ``me`` leaves open."""
-        mine = Window.partitionBy(me)
-
-        def spread(c: str):
-            value = F.when(F.col(f"{c}_{other}") != "", F.col(f"{c}_{other}"))
-            return F.min(value).over(mine), F.max(value).over(mine)
-
-        number, kind, rare = (spread(c) for c in ("number", "kind", "rare"))
-        return (
-            ((F.col(f"number_{me}") == "") & (number[0] != number[1]))
-            | ((F.trim(f"kind_{me}") == "") & (kind[0] != kind[1]))
-            | ((F.col(f"rare_{me}") == "") & (F.levenshtein(rare[0], rare[1]) > 4))
-        )
-
-    best = told.select(
-        "left",
-        "right",
-        "confidence",
-        F.coalesce(torn("left", "right"), F.lit(False)).alias("torn_left"),
-        F.coalesce(torn("right", "left"), F.lit(False)).alias("torn_right"),
-        F.max("confidence").over(Window.partitionBy("left")).alias("best_left"),
-        F.max("confidence").over(Window.partitionBy("right")).alias("best_right"),
-    )
-    kept = best.where(
-        (~F.col("torn_left") | (F.col("confidence") >= F.col("best_left") - SLACK))
-        & (~F.col("torn_right") | (F.col("confidence") >= F.col("best_right") - SLACK))
-    )
-    ids = members.select("side", "id", "rep")
+    kept = assigned(scored, reps.select("rep", F.concat_ws("|", *SIGN).alias("sign")))
     return (
-        kept.select("left", "right", "confidence")
-        .join(big(ids.where("side = 0").select(F.col("rep").alias("left"), F.col("id").alias("left_id"))), "left")
-        .join(big(ids.where("side = 1").select(F.col("rep").alias("right"), F.col("id").alias("right_id"))), "right")
+        kept.join(big(members.where("side = 1").select(F.col("rep").alias("left"), F.col("id").alias("left_id"))), "left")
+        .join(big(members.where("side = 2").select(F.col("rep").alias("right"), F.col("id").alias("right_id"))), "right")
         .select("left_id", "right_id", "confidence")
     )
 

@@ -154,18 +154,53 @@ def alike(a: str, b: str) -> bool:
     return distance(a, b, most) <= most
 
 
+def _shortened(word: str, most: int) -> set[str]:
+    """A word without up to ``most`` of its letters, in every way."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
+        out = out | last
+    return out
+
+
+class SlipIndex:
+    """Known words found from typed ones up to ``most`` slips.
+
+    Two words within ``e`` slips have a form in common when each drops up to ``e``
+    letters, so a look-up compares the few known words that share one.
+    """
+
+    def __init__(self, known: dict[str, str], most: int, least: int = 0):
+        self.known, self.most, self.least = known, most, least
+        self.forms: dict[str, list[str]] = {}
+        for word in known:
+            if len(word) >= least:
+                for form in _shortened(word, most):
+                    self.forms.setdefault(form, []).append(word)
+
+    def near(self, word: str) -> list[tuple[int, str]]:
+        """Known words within ``most`` slips, with their distance."""
+        found = {k for form in _shortened(word, self.most) for k in self.forms.get(form, ())}
+        near = ((distance(word, k, self.most), k) for k in found)
+        return sorted(x for x in near if x[0] <= self.most)
+
+
+@lru_cache
+def _index(kinds: str) -> SlipIndex:
+    return SlipIndex({"type": TYPE_OF, "part": PART_OF, "street": STREET_OF, "direction": DIRECTION_OF, "given": GIVEN_OF}[kinds], 1, 5)
+
+
 @lru_cache(200_000)
 def _near(word: str, kinds: str) -> str | None:
     """The vocabulary word that a longer ``word`` misses by one slip."""
-    words = {"type": TYPE_OF, "part": PART_OF, "street": STREET_OF, "direction": DIRECTION_OF, "given": GIVEN_OF}[kinds]
-    if word in words:
-        return words[word]
-    if len(word) < 5:
+    index = _index(kinds)
+    if word in index.known:
+        return index.known[word]
+    if len(word) < 5 or not (found := index.near(word)):
         return None
-    for known, name in words.items():
-        if len(known) >= 5 and distance(word, known, 1) <= 1:
-            return name
-    return None
+    # Of several the one that stands first in the vocabulary.
+    order = list(index.known)
+    return index.known[min((k for _, k in found), key=order.index)]
 
 
 class Name(NamedTuple):
@@ -376,15 +411,19 @@ AGENCY_OF = _inverse(_AGENCY_WORDS)
 NO_AGENCY = set("na|none|null|various|multiple cities|private|see notes|unknown agency|unknown|tbd|not stated|other|multiple|private owner|owner agent|see website|varies|n a|agent|owner".split("|"))
 
 
+@lru_cache
+def _agency_index() -> SlipIndex:
+    return SlipIndex(AGENCY_OF, 1, 6)
+
+
 @lru_cache(100_000)
 def _agency_word(word: str) -> str | None:
     if word in AGENCY_OF:
         return AGENCY_OF[word]
-    if len(word) >= 5:
-        for known, name in AGENCY_OF.items():
-            if len(known) >= 6 and distance(word, known, 1) <= 1:
-                return name
-    return None
+    if len(word) < 5 or not (found := _agency_index().near(word)):
+        return None
+    order = list(AGENCY_OF)
+    return AGENCY_OF[min((k for _, k in found), key=order.index)]
 
 
 @lru_cache(100_000)

@@ -5,22 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.canonical import map_agencies
-from rollbook.llm.parse import Address, alike, distance, parse_address, parse_agency, parse_name
-from rollbook.session import big, cut, shuffle_width
+from rollbook.llm.grams import slips_in
+from rollbook.llm.parse import Address, SlipIndex, alike, distance, parse_address, parse_agency, parse_name
+from rollbook.session import big, cut, spaced
 
-#: A word is common from this share of all names on: so many words at most can be.
-COMMON_SHARE = 1 / 5000
-COMMON_LEAST = 8
-
-#: Slips that the tests of words bear at most.
-SLIPS = 2
-#: Words up to this length are indexed by what is left of them without up to ``SLIPS`` letters, longer ones by their segments.
-SHORT = 24
+#: A word is common from this share of all pairs of words on, whatever the number of names; twice as many words at most can be.
+COMMON_SHARE = 1 / 1000
 
 ADDRESS_SCHEMA = "address string, number string, direction string, mark string, street string, stype string, city string, zip string"
 NAME_SCHEMA = "name string, words array<string>, given string, mark string, ntype string, part string, phase string"
@@ -41,7 +35,7 @@ def address_pieces(addresses: DataFrame) -> DataFrame:
                 columns=["address", "number", "direction", "mark", "street", "stype", "city", "zip"],
             )
 
-    return addresses.select("address").distinct().mapInPandas(run, ADDRESS_SCHEMA)
+    return spaced(addresses.select("address").distinct()).mapInPandas(run, ADDRESS_SCHEMA)
 
 
 def zip_cities(pieces: DataFrame) -> DataFrame:
@@ -56,7 +50,7 @@ def common_words(pieces: DataFrame) -> dict[str, int]:
     """Words met beside many different words, with that number.
 
     Counted over all names. A word needs a share of ``COMMON_SHARE`` of all pairs
-    of words and ``COMMON_LEAST`` partners, so at most ``1 / COMMON_SHARE`` words
+    of words and more than one partner, so at most ``1 / COMMON_SHARE`` words
     qualify and come to the driver.
     """
     two = pieces.where(F.size("words") == 2).select(F.sort_array("words").alias("w"), "words").distinct()
@@ -64,35 +58,30 @@ def common_words(pieces: DataFrame) -> dict[str, int]:
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     total = both.count()
     found = (
-        both.groupBy("a").count().where(F.col("count") >= max(COMMON_LEAST, total * COMMON_SHARE)).collect()
+        both.groupBy("a").count().where(F.col("count") >= max(2, total * COMMON_SHARE)).collect()
     )
     return {r["a"]: r["count"] for r in found}
 
 
-def _common_of(word: str, common: dict[str, int]) -> str:
+def _common_of(word: str, index: SlipIndex) -> str:
     """The common word that ``word`` is, up to slips; empty if none."""
-    if word in common:
+    if word in index.known:
         return word
-    best = (3, "")
-    for known in common:
-        short = min(len(known), len(word))
-        most = 2 if short >= 6 else 1 if short >= 4 else 0
-        if most and abs(len(known) - len(word)) <= most:
-            n = distance(word, known, most)
-            if n <= most:
-                best = min(best, (n, known))
-    return best[1]
-
-
-def split_words(words: list[str], common: dict[str, int], cache: dict[str, str]) -> tuple[str, str, bool]:
+    if len(word) < 4:
+        return ""
+    near = [(n, k) for n, k in index.near(word) if n <= (2 if min(len(k), len(word)) >= 6 else 1 if len(k) >= 4 else 0)]
+    return near[0][1] if near else ""
+
+
+def split_words(words: list[str], index: SlipIndex, cache: dict[str, str]) -> tuple[str, str, bool]:
     """The rare word of a name, its common word (either may be empty), and whether the common one is known."""
 
     def known(word: str) -> str:
         if word not in cache:
-            cache[word] = _common_of(word, common)
+            cache[word] = _common_of(word, index)
         return cache[word]
 
-    words = list(words)
+    words, common = list(words), index.known
     if len(words) == 1 and words[0] not in common:
         # Glued to its common word.
         for tail in common:
@@ -126,14 +115,15 @@ def name_pieces(names: DataFrame) -> DataFrame:
                 columns=["name", "words", "given", "mark", "ntype", "part", "phase"],
             )
 
-    parsed = cut(names.select("name").distinct().mapInPandas(run, NAME_SCHEMA))
+    parsed = cut(spaced(names.select("name").distinct()).mapInPandas(run, NAME_SCHEMA))
     common = common_words(parsed)
     shared = names.sparkSession.sparkContext.broadcast(common)  # bounded, see common_words
 
     def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, str] = {}
+        index = SlipIndex(dict.fromkeys(shared.value, ""), 2)
         for pdf in batches:
-            two = [split_words(w, shared.value, cache) for w in pdf["words"]]
+            two = [split_words(w, index, cache) for w in pdf["words"]]
             yield pdf.assign(rare=[t[0] for t in two], common=[t[1] for t in two], topic=[t[1] if t[2] else "" for t in two])
 
     return parsed.mapInPandas(tell, NAME_SCHEMA + ", rare string, common string, topic string")
@@ -141,7 +131,7 @@ def name_pieces(names: DataFrame) -> DataFrame:
 
 def agency_keys(agencies: DataFrame, refs: DataFrame) -> DataFrame:
     """``agency, body``: the reference entry where one is meant, else kind and words, ``''`` if it says nothing."""
-    texts = agencies.select("agency").distinct()
+    texts = spaced(agencies.select("agency").distinct())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -157,55 +147,6 @@ def agency_keys(agencies: DataFrame, refs: DataFrame) -> DataFrame:
     )
 
 
-def _variants(word: str) -> Iterator[str]:
-    """Keys of which two words within ``SLIPS`` slips share at least one.
-
-    A slip (letter added, dropped, changed, or two swapped) is undone by leaving
-    out one letter of either word. It touches two of five segments at most, so one
-    segment of a long word stands whole in the other, as many places off as there are slips.
-    """
-    n = len(word)
-    if n <= SHORT:
-        yield word
-        for i in range(n):
-            one = word[:i] + word[i + 1 :]
-            yield one
-            for j in range(i, n - 1):
-                yield one[:j] + one[j + 1 :]
-    # Pairs of a short and a long word are met among the segments.
-    if n > SHORT - SLIPS:
-        parts = 2 * SLIPS + 1
-        for size in range(n - SLIPS, n + SLIPS + 1):
-            for k in range(parts):
-                begin, end = k * size // parts, (k + 1) * size // parts
-                for at in range(max(0, begin - SLIPS), min(n - (end - begin), begin + SLIPS) + 1):
-                    yield f"{size} {k} {word[at : at + end - begin]}"
-
-
-def near_words(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All pairs of words of the columns ``word`` within ``SLIPS`` slips, equal ones too: ``x, y``.
-
-    Exact: words meet by their variants and are compared then.
-    """
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(w, v) for w in pdf["word"] for v in {xxhash.xxh64_intdigest(t) - (1 << 63) for t in _variants(w)}]
-            yield pd.DataFrame(rows, columns=["word", "v"])
-
-    def variants(words: DataFrame, name: str) -> DataFrame:
-        # Without a number of its own the small input would be one task.
-        spaced = words.select("word").where("word IS NOT NULL").distinct().repartition(shuffle_width(words.sparkSession), "word")
-        return spaced.mapInPandas(spread, "word string, v long").withColumnRenamed("word", name)
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[distance(x, y, SLIPS) <= SLIPS for x, y in zip(pdf["x"], pdf["y"])]]
-
-    met = variants(left, "x").join(big(variants(right, "y")), "v").where(F.levenshtein("x", "y", 2 * SLIPS) >= 0)
-    return met.select("x", "y").distinct().mapInPandas(verify, "x string, y string")
-
-
 def bodies_agree(a: str, b: str) -> bool | None:
     """Whether two bodies are one; None if one says nothing."""
     if not a or not b:
@@ -219,10 +160,14 @@ def bodies_agree(a: str, b: str) -> bool | None:
     return False
 
 
-def streets_alike(a: str, b: str) -> bool:
-    """The same street name up to two slips (one in a short name)."""
-    most = 2 if min(len(a), len(b)) >= 6 else 1
-    return a == b or distance(a, b, most) <= most
+def words_alike(a: str, b: str) -> bool:
+    """The same word up to the slips that its length bears; what holds a digit bears none."""
+    if a == b:
+        return True
+    most = slips_in(min(len(a), len(b)))
+    if not most or any(c.isdigit() for c in a + b):
+        return False
+    return distance(a, b, most) <= most
 
 
 def cities_agree(a: Address, b: Address, city_a: str, city_b: str) -> bool | None:
@@ -239,7 +184,7 @@ def place_score(a: Address, b: Address, city_a: str = "", city_b: str = "") -> f
     """0 where two addresses are different places, up to 1 where every part agrees; None if one has no street and number."""
     if not a.number or not b.number:
         return None
-    if a.number != b.number or not streets_alike(a.street, b.street):
+    if a.number != b.number or not words_alike(a.street, b.street):
         return 0.0
     score = 0.7
     for x, y in ((a.direction, b.direction), (a.type, b.type), (a.mark, b.mark)):
@@ -264,12 +209,12 @@ def words_agree(rare_a: str, common_a: str, rare_b: str, common_b: str) -> float
             total += weight / 2 if (x or y) else 0.0
             continue
         total += weight
-        most = 2 if min(len(x), len(y)) >= 6 else 1
+        most = slips_in(min(len(x), len(y)))
         n = distance(x, y, most)
         if n > most:
             # Glued or parted otherwise: compare the whole.
-            whole = distance(rare_a + common_a, rare_b + common_b, 2)
-            return 0.9 if whole <= 2 else 0.0
+            most = slips_in(min(len(rare_a + common_a), len(rare_b + common_b)))
+            return 0.9 if distance(rare_a + common_a, rare_b + common_b, most) <= most else 0.0
         edits += n
         got += weight * (1 - n / max(len(x), len(y)))
     if edits > 3 or not total:

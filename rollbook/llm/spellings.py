@@ -1,47 +1,51 @@
 """Variant spellings of names typed by people.
 
-An exact join of the names' rare words, and of rare and common word as one, up to two
-slips (``pieces.near_words``), inside the agency; records whose agency says nothing
-join on their words alone. Hits are verified by a soft weighted similarity of words
-in which the rare word counts most, and by the parts that make properties of their
-own (phase, senior, family, kind of building).
+A prefix-filtered set-similarity join on the q-grams of a name's telling words. The
+grams of its rare word (of its common one if it has no other), and of both words as
+one for names parted otherwise, are put in order of their rarity over all names; the
+prefix that two words of the wanted likeness must share is joined within the agency.
+Names whose agency says nothing join by their prefixes alone. Hits are verified by a
+soft weighted similarity of words in which the rare word counts most, and by the
+parts that make properties of their own (phase, senior, family, kind of building).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.grams import keys_of, piece_counts, prefixes
 from rollbook.llm.parse import Address
 from rollbook.llm.pieces import (
-    SLIPS,
     address_pieces,
     agency_keys,
     bodies_agree,
     givens_agree,
     name_pieces,
-    near_words,
     place_score,
     said,
     words_agree,
 )
-from rollbook.session import big, cut
+from rollbook.session import big, cut, spaced
 
 LEAST_SCORE = 0.8
+#: Letters in a gram of a name.
+GRAM = 4
 FIELDS = ("rare", "common", "given", "mark", "ntype", "part", "phase", "body")
 
 
 def distinct_names(rows: DataFrame, refs: DataFrame) -> DataFrame:
-    """``rep, name, agency`` and pieces of each distinct pair of name and agency texts."""
-    reps = rows.select("name", "agency").distinct()
+    """``name, agency, rep`` and pieces of each distinct pair of texts; texts of equal pieces share ``rep``."""
+    texts = rows.select("name", "agency").distinct()
     return (
-        reps.join(big(name_pieces(reps)), "name")
-        .join(big(agency_keys(reps, refs)), "agency")
-        .withColumn("rep", F.xxhash64("name", "agency"))
+        texts.join(big(name_pieces(texts)), "name")
+        .join(big(agency_keys(texts, refs)), "agency")
         .withColumn("key", F.when(F.col("rare") != "", F.col("rare")).otherwise(F.col("common")))
+        .withColumn("rep", F.xxhash64(*FIELDS))
     )
 
 
@@ -62,41 +66,56 @@ def name_score(x: dict, y: dict) -> float:
     return words_agree(x["rare"], x["common"], y["rare"], y["common"])
 
 
+def gram_rows(reps: DataFrame) -> DataFrame:
+    """A row for each prefix gram of each name: ``k, block, rep, word, phase``; of ``reps`` only ``rep, rare, common, phase, body`` count.
+
+    ``k`` is the gram and which of the name's words it is from; ``word`` is that word.
+    """
+    base = spaced(reps.select("rep", "rare", "common", "phase", "body"))
+
+    def words_in(pdf: pd.DataFrame) -> list[str]:
+        """The telling word of each name, then both words as one."""
+        return [r or c for r, c in zip(pdf["rare"], pdf["common"])] + list(pdf["rare"] + pdf["common"])
+
+    counts = base.sparkSession.sparkContext.broadcast(piece_counts(base, words_in, GRAM))  # bounded, see piece_counts
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            words = words_in(pdf)
+            owner, found = prefixes(words, GRAM, counts.value)
+            row = owner % len(pdf)
+            # Bodies outside the reference list may be misspelt themselves: one block.
+            block = pdf["body"].where(~pdf["body"].str.startswith("~"), "~")
+            yield pd.DataFrame(
+                {
+                    "k": keys_of(owner // len(pdf), found),
+                    "block": block.to_numpy()[row],
+                    "rep": pdf["rep"].to_numpy()[row],
+                    "word": np.array(words, object)[owner],
+                    "phase": pdf["phase"].to_numpy()[row],
+                }
+            )
+
+    return base.mapInPandas(spread, "k long, block string, rep long, word string, phase string")
+
+
 def name_links(reps: DataFrame) -> DataFrame:
     """Links between names that may be one property: ``a, b, fa, fb`` (reps and their fields), a < b."""
-    facts = reps.select("rep", F.struct(*FIELDS).alias("f"))
-    base = cut(
-        reps.select(
-            "rep",
-            "rare",
-            "common",
-            F.concat("rare", "common").alias("glued"),
-            "phase",
-            # Bodies outside the reference list may be misspelt themselves: one block.
-            F.when(F.col("body").startswith("~"), "~").otherwise(F.col("body")).alias("block"),
-        )
+    facts = reps.select("rep", F.struct(*FIELDS).alias("f")).dropDuplicates(["rep"])
+    rows = cut(gram_rows(facts.select("rep", "f.*")))
+    x, y = (rows.select("k", "block", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "word", "phase")]) for s in "xy")
+    silent = x.where("block = ''").drop("block")
+    met = (
+        x.where("block != ''").join(big(y.where("block != ''")), ["k", "block"]).where("rep_x < rep_y").drop("block")
+    ).unionByName(
+        # A name without agency meets all; two such names meet once.
+        silent.join(big(y), "k").where("block != '' OR rep_x < rep_y").drop("block")
     )
-    found = None
-    # Names agree by their rare words or, parted otherwise, by both words as one; see words_agree.
-    for word, rows in (("rare", base.where("rare != ''")), ("glued", base)):
-        words = rows.select(F.col(word).alias("word"))
-        x, y = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in rows.columns]) for s in "xy")
-        hits = (
-            x.join(big(near_words(words, words)), F.col(f"{word}_x") == F.col("x"))
-            .join(big(y), F.col("y") == F.col(f"{word}_y"))
-            .where("rep_x < rep_y AND phase_x = phase_y AND (block_x = block_y OR block_x = '' OR block_y = '')")
-            .where(
-                (F.col("common_x") == "")
-                | (F.col("common_y") == "")
-                | (F.levenshtein("common_x", "common_y", 2 * SLIPS) >= 0)
-                | (F.levenshtein("glued_x", "glued_y", 2 * SLIPS) >= 0)
-            )
-        )
-        pairs = hits.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
-        found = pairs if found is None else found.unionByName(pairs)
+    # Two slips are four changes of single letters at most.
+    near = met.where("phase_x = phase_y").where(F.levenshtein("word_x", "word_y", 4) >= 0)
+    pairs = near.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
     candidates = (
-        found.distinct()
-        .join(big(facts.select(F.col("rep").alias("a"), F.col("f").alias("fa"))), "a")
+        pairs.join(big(facts.select(F.col("rep").alias("a"), F.col("f").alias("fa"))), "a")
         .join(big(facts.select(F.col("rep").alias("b"), F.col("f").alias("fb"))), "b")
         .select("a", "b", "fa", "fb")
     )
@@ -147,48 +166,45 @@ def same_property(
         said(agency).alias("agency"),
         said(address).alias("address"),
     ).where(F.trim("name") != "")
-    reps = cut(distinct_names(rows, refs).where("key != ''"))
-    links = cut(name_links(reps))
-    members = cut(rows.join(big(reps.select("rep", "name", "agency")), ["name", "agency"]).select("id", "rep", "address"))
-
+    texts = cut(distinct_names(rows, refs).where("key != ''"))
+    reps = texts.select("rep", F.struct(*FIELDS).alias("f")).dropDuplicates(["rep"])
+    links = cut(name_links(texts))
+    members = cut(
+        rows.join(big(texts.select("rep", "name", "agency")), ["name", "agency"]).select(
+            "id", "rep", "address", F.xxhash64("name", "agency").alias("text")
+        )
+    )
     both = links.select("a", "b", "fa", "fb").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("fb").alias("fa"), F.col("fa").alias("fb"))
     )
     # What an open name could be: the signs of the closed names it is linked to.
-    options = cut(
-        both.where(_open("fa") & ~_open("fb"))
-        .groupBy("a", _sign("fb").alias("sign"))
-        .agg(F.collect_set("b").alias("of"))
+    options = both.where(_open("fa") & ~_open("fb")).select("a", "b", _sign("fb").alias("sign"))
+    ends = options.groupBy("a").agg(F.min("sign").alias("low"), F.max("sign").alias("high"))
+    state = cut(
+        reps.join(big(ends), reps["rep"] == ends["a"], "left").select(
+            "rep",
+            F.coalesce(F.col("low") != F.col("high"), F.lit(False)).alias("torn"),
+            F.when(_open("f"), F.when(F.col("low") == F.col("high"), F.col("low"))).otherwise(_sign("f")).alias("sign"),
+        )
     )
-    per_name = options.groupBy("a").agg(F.count("*").alias("n"))
-    torn = per_name.where("n > 1").select(F.col("a").alias("rep"))
     # Torn names go by record: the sign whose records lie at the record's own place.
-    placed = _by_address(options.join(big(torn.select(F.col("rep").alias("a"))), "a", "left_semi"), members)
-    # Every record ends in one group of names: its name, or for a torn name its own choice.
+    torn = state.where("torn").select(F.col("rep").alias("a"))
+    placed = _by_address(options.join(big(torn), "a", "left_semi"), members)
     settled = (
-        members.join(big(torn.withColumn("torn", F.lit(True))), "rep", "left")
-        .join(big(placed), ["id", "rep"], "left")
-        .select("id", "rep", F.col("torn").isNotNull().alias("torn"), F.col("sign").alias("chosen"))
-    )
-    a, b = (
-        settled.select(
-            F.col("id").alias(f"id_{s}"), F.col("rep").alias(s), F.col("torn").alias(f"torn_{s}"), F.col("chosen").alias(f"chosen_{s}")
-        )
-        for s in "ab"
+        members.join(big(state), "rep")
+        .join(big(placed.select("id", "rep", F.col("sign").alias("chosen"))), ["id", "rep"], "left")
+        .select("id", "rep", "text", "torn", F.coalesce("sign", "chosen").alias("sign"))
     )
-    pairs = links.select("a", "b", _sign("fa").alias("sa"), _sign("fb").alias("sb"), _open("fa").alias("oa"), _open("fb").alias("ob"))
-    # Names that are open but fit one property only take its sign.
-    single = options.join(big(per_name.where("n = 1").select("a")), "a", "left_semi").select(F.col("a").alias("rep"), F.col("sign").alias("only"))
-    for s in "ab":
-        pairs = pairs.join(big(single.select(F.col("rep").alias(s), F.col("only").alias(f"only_{s}"))), s, "left")
-    final = pairs.join(big(a), "a").join(big(b), "b")
-
-    def told(s: str):
-        return F.when(F.col(f"torn_{s}"), F.col(f"chosen_{s}")).otherwise(
-            F.when(F.col(f"o{s}"), F.col(f"only_{s}")).otherwise(F.col(f"s{s}"))
-        )
-
-    x, y = told("a"), told("b")
+    fields = ("id", "torn", "sign")
+    a, b = (settled.select(F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in fields]) for s in "ab")
+    across = links.select("a", "b").join(big(a), "a").join(big(b), "b")
+    # Texts of equal pieces: records of one text are no pair and never meet.
+    several = texts.select("rep", F.xxhash64("name", "agency").alias("text"))
+    twins = several.select("rep", F.col("text").alias("a")).join(big(several.select("rep", F.col("text").alias("b"))), "rep").where("a < b")
+    a, b = (settled.select(F.col("text").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in fields]) for s in "ab")
+    inside = twins.select("a", "b").join(big(a), "a").join(big(b), "b")
+    final = across.unionByName(inside)
+    x, y = F.col("sign_a"), F.col("sign_b")
     # Both told: signs must fit. One untold and not torn: nothing speaks against it.
     fits = F.when(
         x.isNotNull() & y.isNotNull(),
@@ -203,13 +219,14 @@ def same_property(
 
 def _by_address(options: DataFrame, members: DataFrame) -> DataFrame:
     """For records of torn names the one sign with records at the same place: ``id, rep, sign``."""
-    pieces = address_pieces(members.where("address != ''"))
+    named = options.select(F.col("a").alias("rep")).unionByName(options.select(F.col("b").alias("rep"))).distinct()
+    members = cut(members.where("address != ''").join(big(named), "rep", "left_semi"))
+    pieces = cut(address_pieces(members))
     parts = ("number", "direction", "mark", "street", "stype", "city", "zip")
     where = pieces.where("number != ''").select("address", F.struct(*parts).alias("parts"))
     own = members.join(big(options.select(F.col("a").alias("rep")).distinct()), "rep", "left_semi").join(big(where), "address")
     other = (
-        options.select("a", "sign", F.explode("of").alias("b"))
-        .join(big(members.select(F.col("rep").alias("b"), F.col("address")).distinct()), "b")
+        options.join(big(members.select(F.col("rep").alias("b"), F.col("address")).distinct()), "b")
         .join(big(where), "address")
         .select("a", "sign", F.col("parts").alias("other"))
         .distinct()
