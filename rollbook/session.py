@@ -18,6 +18,7 @@ def get_session(app: str = "rollbook", cores: str = "*", **conf: str) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():
@@ -60,6 +61,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spaced(df: DataFrame) -> DataFrame:
+    """Distinct rows dealt out to all shuffle partitions: small ones are not merged into one task before slow Python work."""
+    return df.repartition(shuffle_width(df.sparkSession), *df.columns)
+
+
 def big(df: DataFrame) -> DataFrame:
     """Marks a side of a join that grows with the data: it is never broadcast on an estimate.
 
