@@ -30,112 +30,168 @@ BLOCK_WORDS = 2_000_000
 HALF = 0.5
 #: Words that may lie between two matched ones of a passage, on either side.
 GAP = 3
-#: Share of an item's places at which a common seed must begin before words are aligned.
-LEAST_MET = 0.15
-#: A passage holds this many of the item's words at least; less is a turn of phrase.
+#: A passage holds this many of the item's words at least; less is a turn of phrase. Items of fewer words must stand whole.
 PASSAGE = 6
+#: Words around a seed in which its passage may go on without another seed.
+REACH = SPAN + 4 * GAP
+#: Words of texts that are hashed at once.
+BATCH_WORDS = 400_000
 
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
-_TAG = re.compile(r"<[^<>]{0,200}>|&[a-z]{2,8};|&#\d{1,6};", re.IGNORECASE)
+_TAG = re.compile(r"<[^<>]*>|&[a-z]{2,8};|&#\d{1,6};", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+")
+#: Scripts written without blanks: each character is a word.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Words in lower case without punctuation, markup, accents' spelling or invisible characters."""
+    """Words in lower case without punctuation, markup, accents' spelling or invisible characters.
+
+    Where a script has no blanks between words, its characters are words.
+    """
     if not text:
         return []
     if not text.isascii():
-        text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+        text = _UNSPACED.sub(r" \1 ", _INVISIBLE.sub("", unicodedata.normalize("NFKC", text)))
     text = re.sub(r"['’ʼ`]", "", _TAG.sub(" ", text.lower()))
     # A word parted at a line's end is one word.
     text = re.sub(r"(?<=[a-z])-[ \t]*\r?\n[ \t>|*]*(?=[a-z])", "", text)
     return _WORD.findall(text)
 
 
-_codes: dict[str, int] = {}
+class _Codes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
+
+
+_codes = _Codes()
 
 
 def codes_of(words: list[str]) -> np.ndarray:
     """A 64-bit code of each word."""
-    if len(_codes) > 500_000:
-        _codes.clear()
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        code = _codes.get(w)
-        if code is None:
-            code = _codes[w] = xxhash.xxh64_intdigest(w)
-        out[i] = code
-    return out
+    return np.array([_codes[w] for w in words], np.uint64)
+
+
+def _hashed(codes: np.ndarray, places: tuple[int, ...], start: int) -> np.ndarray:
+    """Hashes of the codes at ``places`` of every stretch."""
+    n = max(0, len(codes) - places[-1])
+    h = np.full(n, start, np.uint64)
+    for place in places:
+        h = (h ^ codes[place : place + n]) * np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(32)
+    return h
 
 
 def seeds_of(codes: np.ndarray) -> list[np.ndarray]:
     """Hashes of all stretches, one array for each mask; entry k belongs to the stretch at word k."""
-    out = []
-    for number, mask in enumerate(MASKS):
-        n = len(codes) - mask[-1]
-        if n <= 0:
-            out.append(np.empty(0, np.uint64))
-            continue
-        h = np.full(n, 0x9E3779B97F4A7C15 + number, np.uint64)
-        for place in mask:
-            h = (h ^ codes[place : place + n]) * np.uint64(0xFF51AFD7ED558CCD)
-            h ^= h >> np.uint64(32)
-        out.append(h)
-    return out
+    return [_hashed(codes, mask, 0x9E3779B97F4A7C15 + number) for number, mask in enumerate(MASKS)]
+
+
+class _Table:
+    """Sorted hashes, with a bit table that rules most others out."""
+
+    BITS = 22
+
+    def __init__(self, hashes: np.ndarray):
+        self.order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
+        self.bits = np.zeros(1 << self.BITS, bool)
+        self.bits[(self.hashes >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index in ``wanted`` and in the hashes of every match."""
+        maybe = np.nonzero(self.bits[(wanted >> np.uint64(64 - self.BITS)).astype(np.int64)])[0]
+        lo = np.searchsorted(self.hashes, wanted[maybe], "left")
+        n = np.searchsorted(self.hashes, wanted[maybe], "right") - lo
+        starts = np.repeat(lo - np.cumsum(n) + n, n)
+        return np.repeat(maybe, n), self.order[starts + np.arange(len(starts))]
 
 
 class ItemIndex:
-    """Seeds of a block of test items, sorted, with item and place of each."""
+    """Seeds of a block of test items with item and place of each, and items too short for passages as a whole."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.codes: dict[int, np.ndarray] = {}
-        hashes, owners, places = [], [], []
-        for item, text in items:
-            codes = codes_of(words_of(text))
-            self.codes[item] = codes
+        self.codes = {item: codes_of(words_of(text)) for item, text in items}
+        empty = np.empty(0, np.uint64)
+        hashes, owners, places = [empty], [empty.astype(np.int64)], [empty.astype(np.int64)]
+        short: dict[int, list[int]] = defaultdict(list)
+        for item, codes in self.codes.items():
+            if len(codes) < PASSAGE:
+                if len(codes):
+                    short[len(codes)].append(item)
+                continue
             for seeds in seeds_of(codes):
                 hashes.append(seeds)
                 owners.append(np.full(len(seeds), item, np.int64))
                 places.append(np.arange(len(seeds)))
-        if hashes:
-            h = np.concatenate(hashes)
-            order = np.argsort(h, kind="stable")
-            self.hashes, self.owners, self.places = h[order], np.concatenate(owners)[order], np.concatenate(places)[order]
-        else:
-            self.hashes, self.owners, self.places = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.seeds = _Table(np.concatenate(hashes))
+        self.owners, self.places = np.concatenate(owners), np.concatenate(places)
+        self.whole = {
+            n: (_Table(np.concatenate([_hashed(self.codes[i], tuple(range(n)), n) for i in found])), np.array(found)) for n, found in short.items()
+        }
 
-    def hits(self, codes: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """The (text place, item place) of common seeds, for each item of which enough places are met.
+    def hits(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+        """Index of a text, item, and the (text place, item place) of their common seeds.
 
-        Half of an item with isolated changes keeps far more seeds than ``LEAST_MET``
-        of its words, a shared turn of phrase fewer.
+        Left out are items of which the text around the common seeds cannot hold half:
+        a passage stands within ``REACH`` words of its seeds.
         """
-        found: dict[int, list[tuple[int, int]]] = {}
-        if not len(self.hashes):
-            return found
+        sizes = np.array([len(t) for t in texts], np.int64)
+        if not sizes.sum():
+            return
+        codes = np.concatenate(texts)
+        text = np.repeat(np.arange(len(texts)), sizes)
+        begins = np.cumsum(sizes) - sizes
         ats, ks = [], []
-        for seeds in seeds_of(codes):
-            lo = np.searchsorted(self.hashes, seeds, "left")
-            inside = np.nonzero(lo < len(self.hashes))[0]
-            inside = inside[self.hashes[lo[inside]] == seeds[inside]]
-            if len(inside):
-                n = np.searchsorted(self.hashes, seeds[inside], "right") - lo[inside]
-                ats.append(np.repeat(inside, n))
-                starts = np.repeat(lo[inside] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-                ks.append(starts + np.arange(int(n.sum())))
-        if not ats:
-            return found
+        for seeds, mask in zip(seeds_of(codes), MASKS):
+            at, k = self.seeds.find(seeds)
+            inside = text[at] == text[at + mask[-1]]
+            ats.append(at[inside])
+            ks.append(k[inside])
         at, k = np.concatenate(ats), np.concatenate(ks)
+        if not len(at):
+            return
         owner, place = self.owners[k], self.places[k]
-        met = np.unique(np.stack([owner, place], 1), axis=0)
-        items, counts = np.unique(met[:, 0], return_counts=True)
-        for item, n in zip(items.tolist(), counts.tolist()):
-            if n >= LEAST_MET * len(self.codes[item]):
-                mine = owner == item
-                found[item] = list(zip(at[mine].tolist(), place[mine].tolist()))
+        order = np.lexsort((at, owner, text[at]))
+        at, owner, place = at[order], owner[order], place[order]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = (owner[1:] != owner[:-1]) | (text[at[1:]] != text[at[:-1]])
+        first = np.nonzero(fresh)[0]
+        # Words of the text within reach of seeds.
+        covered = np.full(len(at), 2 * REACH + 1)
+        covered[1:][~fresh[1:]] = np.minimum(np.diff(at)[~fresh[1:]], 2 * REACH + 1)
+        around = np.add.reduceat(covered, first)
+        for lo, hi, n in zip(first.tolist(), [*first[1:].tolist(), len(at)], around.tolist()):
+            item, t = int(owner[lo]), int(text[at[lo]])
+            if n >= HALF * len(self.codes[item]):
+                yield t, item, list(zip((at[lo:hi] - begins[t]).tolist(), place[lo:hi].tolist()))
+
+    def stand_whole(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
+        """Index of a text and short item whose words it holds in one stretch."""
+        found = set()
+        for n, (table, items) in self.whole.items():
+            for t, codes in enumerate(texts):
+                for at, k in zip(*table.find(_hashed(codes, tuple(range(n)), n))):
+                    if np.array_equal(codes[at : at + n], self.codes[items[k]]):
+                        found.add((t, int(items[k])))
         return found
 
 
+def areas_of(length: int, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches of a text of ``length`` words around seeds, as far as a passage may go on."""
+    areas: list[tuple[int, int]] = []
+    for a in sorted({a for a, _ in hits}):
+        lo, hi = max(0, a - REACH), min(length, a + REACH + 1)
+        if areas and lo <= areas[-1][1]:
+            areas[-1] = (areas[-1][0], hi)
+        else:
+            areas.append((lo, hi))
+    return areas
+
+
 def passages(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> list[frozenset[int]]:
     """Item places that each passage of the text holds, in the item's order, largest first.
 
@@ -145,38 +201,32 @@ def passages(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) ->
     where: dict[int, list[int]] = defaultdict(list)
     for j, code in enumerate(item.tolist()):
         where[code].append(j)
-    # Stretches of the text around seeds, grown by what a passage may still hold.
-    marks = sorted({a for a, _ in hits})
-    reach = SPAN + 4 * GAP
-    areas: list[list[int]] = []
-    for a in marks:
-        if areas and a - reach <= areas[-1][1]:
-            areas[-1][1] = a + reach
-        else:
-            areas.append([max(0, a - reach), a + reach])
     seeded = {(a + k, b + k) for a, b in hits for k in range(SPAN) if a + k < len(text) and b + k < len(item) and text[a + k] == item[b + k]}
     found: list[frozenset[int]] = []
-    for lo, hi in areas:
-        recent: list[tuple[int, int, int, int]] = []  # text place, item place, length, index of chain
+    for lo, hi in areas_of(len(text), hits):
+        # Chains that end at an item place: text place, length, number of the chain.
+        ends: list[list[tuple[int, int, int]]] = [[] for _ in range(len(item))]
         chains: list[tuple[int, int]] = []  # back pointer, item place
         best: dict[int, tuple[int, int]] = {}  # root of a chain: length, end
         roots: list[int] = []
         seeds_in: list[bool] = []
-        for a in range(lo, min(hi + 1, len(text))):
+        for a, code in enumerate(text[lo:hi].tolist(), lo):
             fresh = []
-            for b in where.get(int(text[a]), ()):
+            for b in where.get(code, ()):
                 length, back = 1, -1
-                for pa, pb, n, k in recent:
-                    if 0 < b - pb <= GAP + 1 and n + 1 > length and abs((b - pb) - (a - pa)) <= 2:
-                        length, back = n + 1, k
+                for pb in range(max(0, b - GAP - 1), b):
+                    for pa, n, k in ends[pb]:
+                        if n >= length and a - pa <= GAP + 1 and abs((b - pb) - (a - pa)) <= 2:
+                            length, back = n + 1, k
                 k = len(chains)
                 chains.append((back, b))
                 roots.append(roots[back] if back >= 0 else k)
                 seeds_in.append((seeds_in[back] if back >= 0 else False) or (a, b) in seeded)
-                fresh.append((a, b, length, k))
+                fresh.append((b, length, k))
                 if seeds_in[k] and length > best.get(roots[k], (0, 0))[0]:
                     best[roots[k]] = (length, k)
-            recent = [r for r in recent if a - r[0] <= GAP] + fresh
+            for b, length, k in fresh:
+                ends[b] = [x for x in ends[b] if a - x[0] <= GAP] + [(a, length, k)]
         for length, k in best.values():
             if length >= PASSAGE:
                 held = []
@@ -191,8 +241,10 @@ def held_share(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]])
     """Largest share of the item's words in one or two passages of the text."""
     if not len(item):
         return 0.0
-    # Fewer words in common than half: no need to align.
-    if np.isin(item, text).sum() < HALF * len(item):
+    # Two stretches around seeds with fewer words in common than half: no need to align.
+    codes = item.tolist()
+    common = sorted(sum(map(set(text[lo:hi].tolist()).__contains__, codes)) for lo, hi in areas_of(len(text), hits))
+    if sum(common[-2:]) < HALF * len(item):
         return 0.0
     found: list[frozenset[int]] = []
     # A passage inside a larger one adds nothing to any other.
@@ -209,11 +261,21 @@ def held_share(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]])
     return best / len(item)
 
 
+_built: list[tuple[list, ItemIndex]] = []
+
+
+def _index_of(block: list[tuple[int, str]]) -> ItemIndex:
+    """The index of a block, built once in a worker."""
+    if not _built or _built[0][0] is not block:
+        _built[:] = [(block, ItemIndex(block))]
+    return _built[0][1]
+
+
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """Documents that hold at least half of a test item's words: ``<key>, <item>, share``.
 
-    NULL, empty and blank texts and items match nothing; items of fewer words than
-    a seed spans are left out; copies each count; other columns are ignored.
+    NULL, empty and blank texts and items match nothing; an item of fewer than
+    ``PASSAGE`` words must stand whole; copies each count; other columns are ignored.
     """
     spark = documents.sparkSession
     texts = documents.where(F.trim(text) != "").select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
@@ -222,15 +284,20 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         shared = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            index = ItemIndex(shared.value)
+            index = _index_of(shared.value)
             for pdf in batches:
-                rows = []
-                for i, t in zip(pdf[key], pdf["text"]):
-                    codes = codes_of(words_of(t))
-                    for number, hits in index.hits(codes).items():
-                        share = held_share(codes, index.codes[number], hits)
-                        if share >= HALF:
-                            rows.append((i, number, share))
+                rows, group, ids, words = [], [], [], 0
+                for n, (i, t) in enumerate(zip(pdf[key], pdf["text"]), 1):
+                    group.append(codes_of(words_of(t)))
+                    ids.append(i)
+                    words += len(group[-1])
+                    if words > BATCH_WORDS or n == len(pdf):
+                        for at, number, hits in index.hits(group):
+                            share = held_share(group[at], index.codes[number], hits)
+                            if share >= HALF:
+                                rows.append((ids[at], number, share))
+                        rows += [(ids[at], number, 1.0) for at, number in sorted(index.stand_whole(group))]
+                        group, ids, words = [], [], 0
                 yield pd.DataFrame(rows, columns=[key, item, "share"])
 
         part = texts.mapInPandas(run, f"{key} long, {item} long, share double")
