@@ -133,7 +133,11 @@ class ItemIndex:
             n: (_Table(np.concatenate([_hashed(self.codes[i], tuple(range(n)), n) for i in found])), np.array(found)) for n, found in short.items()
         }
 
-    def hits(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    def hits(self, codes: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """``hits_in`` of one text, by item."""
+        return {item: found for _, item, found in self.hits_in([codes])}
+
+    def hits_in(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
         """Index of a text, item, and the (text place, item place) of their common seeds.
 
         Left out are items of which the text around the common seeds cannot hold half:
@@ -292,7 +296,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                     ids.append(i)
                     words += len(group[-1])
                     if words > BATCH_WORDS or n == len(pdf):
-                        for at, number, hits in index.hits(group):
+                        for at, number, hits in index.hits_in(group):
                             share = held_share(group[at], index.codes[number], hits)
                             if share >= HALF:
                                 rows.append((ids[at], number, share))

@@ -77,7 +77,7 @@ def token_rows(places: DataFrame) -> DataFrame:
     return places.mapInPandas(spread, f"{schema}, k long")
 
 
-def place_links(places: DataFrame) -> DataFrame:
+def wording_links(places: DataFrame) -> DataFrame:
     """Links between different wordings of one place: ``a, b, pa, pb`` (their ``place`` and parts), each pair once.
 
     ``places`` has a row for each ``place`` with its parts and ``zip_city``; those
@@ -154,17 +154,25 @@ def names_fit(a: str, b: str) -> bool:
     return shared >= 0.7 * whole or words_alike("".join(x), "".join(y))
 
 
-def located(records: DataFrame, key: str, address: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Records with a street address (``id, text, name, place``) and the distinct places with their parts."""
+def located(records: DataFrame, key: str, address: str, name: str, keep: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records with a street address (``id, text, name, place``, and the address itself if kept) and the distinct places with their parts."""
     rows = records.select(F.col(key).cast("long").alias("id"), said(address).alias("address"), said(name).alias("name")).where("address != ''")
     pieces = cut(address_pieces(rows))
     cities = F.broadcast(zip_cities(pieces))  # a row for each five-digit code at most
     full = pieces.where("number != '' AND street != ''").join(cities, "zip", "left").withColumn("zip_city", F.coalesce("zip_city", F.lit("")))
     texts = full.select("address", *PARTS, "zip_city", F.xxhash64(*PARTS).alias("place"))
-    members = cut(rows.join(big(texts.select("address", "place")), "address").select("id", F.xxhash64("address").alias("text"), "name", "place"))
+    members = cut(rows.join(big(texts.select("address", "place")), "address").select("id", F.xxhash64("address").alias("text"), "name", "place", *([keep] if keep else [])))
     return members, texts.drop("address").dropDuplicates(["place"])
 
 
+def place_links(addresses: DataFrame) -> DataFrame:
+    """``a, b``: pairs of different texts of column ``address`` that denote one place, names aside."""
+    texts, places = located(addresses.select(F.lit(0).alias("id"), "address", F.lit("").alias("name")).distinct(), "id", "address", "name", keep="address")
+    a, b = (texts.select(F.col("address").alias(s), F.col("place").alias(f"p{s}")) for s in "ab")
+    links = wording_links(places).select(F.col("a").alias("pa"), F.col("b").alias("pb"))
+    return links.join(big(a), "pa").join(big(b), "pb").select("a", "b").unionByName(a.join(big(b), F.col("pa") == F.col("pb")).where("a < b").select("a", "b"))
+
+
 def same_place(records: DataFrame, key: str = "record_id", address: str = "address", name: str = "property_name") -> DataFrame:
     """Pairs of records whose addresses differ as text and denote the same place: ``<key>_a, <key>_b``, a < b.
 
@@ -174,7 +182,7 @@ def same_place(records: DataFrame, key: str = "record_id", address: str = "addre
     texts are no pair; ties and repeated rows each count.
     """
     members, places = located(records, key, address, name)
-    links = _with_doubt(cut(place_links(places)))
+    links = _with_doubt(cut(wording_links(places)))
     left = members.select(F.col("id").alias("ia"), F.col("text").alias("ta"), F.col("place").alias("a"), F.col("name").alias("na"))
     right = members.select(F.col("id").alias("ib"), F.col("text").alias("tb"), F.col("place").alias("b"), F.col("name").alias("nb"))
     met = links.join(big(left), "a").join(big(right), "b")

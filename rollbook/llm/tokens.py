@@ -1,34 +1,36 @@
 """A corpus encoded with a public byte-level BPE vocabulary.
 
-Overlapping chunk encoding. Long texts are cut into chunks that overlap; chunks are
-pre-tokenised in parallel, each from its own start. A pre-token depends on what
+Overlapping chunk encoding, for texts of every length. A text is cut into chunks
+that overlap; chunks are pre-tokenised each from its own start. A pre-token depends on what
 follows it only, so a chunk is right from its first certain boundary on - behind a
 letter or digit run, or before a blank, every pre-token ends - and where two
 neighbouring chunks have one boundary in common they agree from there: the first
-such place in the overlap is where they are stitched. The pieces between stitches are encoded on their own; their ids are the
+such place in the overlap is where they are stitched. The pieces between stitches
+are encoded on their own, all pieces of a batch of texts at once; their ids are the
 text's. Where an overlap has no common boundary (one pre-token longer than it),
-the chunks stay one piece. Decoding concatenates the bytes of ids.
+the chunks stay one piece, so a piece is as long as its longest pre-token needs.
+Decoding concatenates the bytes of ids.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain, islice, pairwise
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.session import big
-
 #: Fixed value: the pattern that splits text before the merges of these vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FOLDER = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CHUNK = 20_000
-OVERLAP = 1_000
+#: Characters of a chunk, and by how many it runs into the next: less than ordinary texts have.
+CHUNK = 1_000
+OVERLAP = 100
 #: Longest ending of PATTERN that looks at more than runs of one kind, and one.
 CONTRACTION = 4
 #: Ids of NULL and of empty texts: none.
@@ -65,56 +67,47 @@ def _pattern():
 _CERTAIN = regex.compile(r"\p{L}(?=\P{L})|\p{N}(?=\P{N})|\S(?=\s)")
 
 
-def boundaries(text: str, offset: int, low: int, high: int) -> list[int]:
-    """Places in [low, high] of the whole text at which a pre-token of this chunk ends."""
-    out = []
-    for m in _pattern().finditer(text):
-        end = m.end() + offset
-        if end > high:
+def _ends(text: str, begin: int, low: int, high: int) -> set[int]:
+    """Places in [low, high] at which a pre-token ends if reading begins at ``begin``."""
+    out = set()
+    # What the last pre-tokens look at may lie behind ``high``.
+    for m in _pattern().finditer(text, begin, min(len(text), high + CONTRACTION)):
+        if m.end() > high:
             break
-        if end >= low:
-            out.append(end)
+        if m.end() >= low:
+            out.add(m.end())
     return out
 
 
-def chunk_marks(documents: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """``doc, cuts``: places where each long text may be cut, all of them stitches of two chunks.
+def stitches(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+    """Places where a text may be cut without changing its ids, one in each overlap that has one."""
+    out = []
+    certain = 0  # the last place before the overlap at which every reading is right
+    for start in range(chunk, len(text), chunk):
+        high = min(start + overlap, len(text)) - 1
+        sure = _CERTAIN.search(text, start, min(len(text), high + 1))
+        if not sure:
+            continue
+        for m in _CERTAIN.finditer(text, max(certain, start - overlap), start):
+            certain = m.end()
+        common = _ends(text, certain, sure.end(), high) & _ends(text, start, sure.end(), high)
+        if common:
+            out.append(min(common))
+            certain = out[-1]
+    return out
+
 
-    Texts are given as ``doc, text, n`` with n characters, more than ``chunk``.
-    """
-    spans = documents.withColumn("k", F.explode(F.sequence(F.lit(0), F.expr(f"int((n - 1) div {chunk})")))).select(
-        "doc",
-        "k",
-        "n",
-        # Chunk k is the text from k * chunk, with the overlap behind it.
-        F.expr(f"substring(text, k * {chunk} + 1, {chunk + overlap})").alias("part"),
-    )
-
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for doc, k, n, part in zip(pdf["doc"], pdf["k"], pdf["n"], pdf["part"]):
-                start = k * chunk
-                # The last pre-tokens may be cut by the chunk's end.
-                end = start + len(part)
-                last = end if end >= n else end - CONTRACTION
-                sure = _CERTAIN.search(part) if k else None
-                low = start + (sure.end() if sure else len(part) if k else 0)
-                head = boundaries(part[: overlap + CONTRACTION], start, max(low, start + 1), min(start + overlap - 1, last)) if k else []
-                tail = boundaries(part, start, max(low, start + chunk + 1), min(start + chunk + overlap - 1, last))
-                rows.append((doc, k, head, tail))
-            yield pd.DataFrame(rows, columns=["doc", "k", "head", "tail"])
-
-    doc_type = documents.schema["doc"].dataType.simpleString()
-    marks = spans.mapInPandas(mark, f"doc {doc_type}, k int, head array<int>, tail array<int>")
-    # Chunks of one text in order; only boundaries inside overlaps travel.
-    common = F.array_intersect(F.lag("tail").over(Window.partitionBy("doc").orderBy("k")), "head")
-    return (
-        marks.select("doc", F.array_min(common).alias("cut"))
-        .where("cut IS NOT NULL")
-        .groupBy("doc")
-        .agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
-    )
+def encode_texts(texts: Iterable[str | None], path: str, chunk: int = CHUNK, overlap: int = OVERLAP, threads: int = 1) -> list[list[int]]:
+    """Ids of texts by their stitched pieces; ``EMPTY`` for NULL and empty texts."""
+    pieces, counts = [], []
+    for text in texts:
+        cuts = [0, *stitches(text, chunk, overlap), len(text)] if text else [0]
+        pieces += [text[a:b] for a, b in pairwise(cuts)]
+        counts.append(len(cuts) - 1)
+    tokens = encoding(path)
+    # One core to a task is the rule: a pool of threads pays only where a task has more.
+    encoded = map(tokens.encode_ordinary, pieces) if threads == 1 else iter(tokens.encode_ordinary_batch(pieces, num_threads=threads))
+    return [list(chain.from_iterable(islice(encoded, n))) if n else list(EMPTY) for n in counts]
 
 
 def encode_corpus(
@@ -128,34 +121,17 @@ def encode_corpus(
 ) -> DataFrame:
     """``<key>, ids`` of every document; NULL and empty texts have no ids, blank ones those of their blanks.
 
-    Other columns are ignored; repeated keys are kept apart by their text. An empty
-    table gives no rows.
+    Other columns are ignored; repeated keys each have a row. An empty table gives no
+    rows. One pass over the texts without a shuffle: a text, whatever its length, is
+    one row of one task, its chunks go through the encoder side by side.
     """
     path = f"{folder}/{vocabulary}"
-    base = documents.select(F.col(key).alias("doc_key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("n", F.length("text"))
 
     @F.pandas_udf("array<int>")
     def ids_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([encode(t, path) for t in texts])
-
-    short = base.where(F.col("n") <= chunk).select(F.col("doc_key").alias(key), ids_of("text").alias("ids"))
-    long = base.where(F.col("n") > chunk).select("doc_key", "text", "n", F.struct("doc_key", F.xxhash64("text").alias("h")).alias("doc"))
-    unique = long.dropDuplicates(["doc"])
-    cuts = chunk_marks(unique.select("doc", "text", "n"), chunk, overlap)
-    starts = F.concat(F.array(F.lit(0)), F.coalesce("cuts", F.array().cast("array<int>")))
-    pieces = (
-        unique.join(big(cuts), "doc", "left")
-        .select("doc", "text", "n", F.posexplode(F.arrays_zip(starts.alias("a"), F.concat(F.coalesce("cuts", F.array().cast("array<int>")), F.array(F.col("n"))).alias("b"))).alias("k", "piece"))
-        .select("doc", "k", F.expr("substring(text, piece.a + 1, piece.b - piece.a)").alias("part"))
-    )
-    whole = (
-        pieces.select("doc", "k", ids_of("part").alias("ids"))
-        .groupBy("doc")
-        .agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
-        .select("doc", F.flatten("parts.ids").alias("ids"))
-    )
-    stitched = long.select("doc_key", "doc").join(big(whole), "doc").select(F.col("doc_key").alias(key), "ids")
-    return short.unionByName(stitched)
+        return pd.Series(encode_texts(texts, path, chunk, overlap), dtype=object)
+
+    return documents.select(F.col(key).alias(key), ids_of(F.col(text)).alias("ids"))
 
 
 def decode_corpus(encoded: DataFrame, key: str = "doc_id", folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:

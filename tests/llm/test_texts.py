@@ -64,6 +64,12 @@ def test_ids_equal_the_library(spark, chunk, overlap):
     assert back == {k: t or "" for k, t in enumerate(TEXTS)}
 
 
+@needs_vocabulary
+def test_query_stitches_ordinary_documents(spark, small):
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    assert sum(bool(t) and len(tokens.stitches(t)) > 0 for t in texts) > 0.2 * len(texts)
+
+
 @needs_vocabulary
 def test_no_documents(spark):
     assert tokens.encode_corpus(spark.createDataFrame([], "doc_id long, text string")).count() == 0
@@ -109,6 +115,37 @@ def test_second_passage_behind_many_copies_of_a_formula():
     assert leakage.held_share(codes, item, hits) == 0.5
 
 
+def leaked(item, text):
+    index, codes = leakage.ItemIndex([(1, item)]), leakage.codes_of(leakage.words_of(text))
+    if (0, 1) in index.stand_whole([codes]):
+        return 1.0
+    hits = index.hits(codes)
+    return leakage.held_share(codes, index.codes[1], hits[1]) if 1 in hits else 0.0
+
+
+def test_more_copies_of_a_passage_lose_nothing():
+    words = [f"w{k}" for k in range(60)]
+    shares = {n: leaked(" ".join(words), " ".join((words[:16] + [f"f{k}" for k in range(40)]) * n + words[30:45])) for n in (1, 10, 60, 400)}
+    assert len(set(shares.values())) == 1 and shares[1] > 0.5
+
+
+def test_short_items_and_scripts_without_blanks():
+    assert leaked("alpha beta gamma delta epsilon", "so: Alpha beta, gamma <b>delta</b> epsilon!") == 1.0
+    assert leaked("alpha beta gamma delta epsilon", "alpha beta gamma delta and epsilon") == 0.0
+    chinese = "请注意该住房项目的申请截止日期为五月三日"
+    assert leaked(chinese, f"前言很长很多字{chinese}后面还有其他内容和说明") == 1.0
+    assert leaked(chinese, "前言很长很多字后面还有其他内容和说明") == 0.0
+
+
+@pytest.mark.parametrize("every", [4, 5, 6, 8])
+def test_isolated_changes_are_borne(every):
+    words = [f"w{k}" for k in range(120)]
+    assert leaked(" ".join(words), " ".join(w if k % every else f"new{k}" for k, w in enumerate(words))) >= 0.5
+    assert leaked(" ".join(words), " ".join(f"{w} more" if k % every == 0 else w for k, w in enumerate(words))) >= 0.5
+    if every > 4:
+        assert leaked(" ".join(words), " ".join(w for k, w in enumerate(words) if k % every)) >= 0.5
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(6)], "item_id long, text string")
     docs = items.select(F.col("item_id").alias("doc_id"), "text")
