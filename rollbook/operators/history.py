@@ -8,13 +8,12 @@ they touch: those chains are rebuilt from raw readings and replaced whole.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.session import big
+from rollbook.session import big, cut
 
 CHAIN_COLUMNS = ("entity", "value", "valid_from", "valid_to")
 
@@ -54,55 +53,34 @@ def build_chains(read: DataFrame, bucket: str = "day") -> DataFrame:
     readings as the bucket has seconds, and only bucket summaries are windowed by
     entity.
     """
-    best = (
-        read.where(F.col("value").isNotNull() & F.col("seen").isNotNull())
-        .groupBy("entity", F.date_trunc(bucket, "seen").alias("bucket"), "seen")
-        .agg(F.max(F.struct("received", "tie", "value")).alias("last"))
-        .select("entity", "bucket", "seen", F.col("last.value").alias("value"))
+    told = F.col("value").isNotNull() & F.col("seen").isNotNull()
+    best = read.groupBy("entity", F.when(told, F.col("seen")).alias("seen")).agg(
+        F.max(F.when(told, F.struct("received", "tie", "value"))).alias("last"), F.min("first_seen").alias("born")
     )
-    inside = Window.partitionBy("entity", "bucket").orderBy("seen")
-    whole = Window.partitionBy("entity", "bucket").orderBy("seen").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    # A bucket's readings in order, at most one for each second of it.
+    inside = best.groupBy("entity", F.date_trunc(bucket, "seen").alias("bucket")).agg(
+        F.array_sort(F.collect_list(F.when(F.col("seen").isNotNull(), F.struct("seen", F.col("last.value").alias("value"))))).alias("read"),
+        F.min("born").alias("born"),
     )
-    changed = best.select(
+    changes = F.filter("read", lambda x, i: (i == 0) | (x["value"] != F.get(F.col("read"), i - 1)["value"]))
+    along = Window.partitionBy("entity").orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("entity").orderBy(F.col("bucket").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last(F.get("read", F.size("read") - 1)["value"], ignorenulls=True).over(along)
+    days = inside.select(
         "entity",
         "bucket",
-        "seen",
-        "value",
-        F.lag("value").over(inside).alias("before"),
-        F.row_number().over(inside).alias("nth"),
-        F.last("value").over(whole).alias("bucket_last"),
-    ).where((F.col("nth") == 1) | (F.col("before") != F.col("value")))
-    # One row for each bucket carries the bucket before it.
-    along = Window.partitionBy("entity").orderBy("bucket")
-    heads = changed.where("nth = 1").select(
-        "entity", "bucket", F.lag("bucket_last").over(along).alias("carried")
+        F.min("born").over(Window.partitionBy("entity")).alias("born"),
+        carried.alias("carried"),
+        changes.alias("changes"),
+    ).withColumn(
+        "starts", F.when(F.get("changes", F.lit(0))["value"] == F.col("carried"), F.expr("slice(changes, 2, size(changes))")).otherwise(F.col("changes"))
     )
-    starts = (
-        changed.join(big(heads), ["entity", "bucket"])
-        .where((F.col("nth") > 1) | F.col("carried").isNull() | (F.col("carried") != F.col("value")))
-        .select("entity", "bucket", "seen", "value")
-    )
-    firsts = starts.groupBy("entity", "bucket").agg(F.min("seen").alias("start"))
-    nexts = firsts.select(
+    ahead = days.withColumn("next_start", F.last(F.get("starts", F.lit(0))["seen"], ignorenulls=True).over(back))
+    return ahead.select("*", F.posexplode("starts").alias("i", "start")).select(
         "entity",
-        "bucket",
-        F.lead("start").over(along).alias("next_start"),
-        F.lag("start").over(along).isNull().alias("opening"),
-    )
-    earliest = read.where(F.col("first_seen").isNotNull()).groupBy("entity").agg(F.min("first_seen").alias("born"))
-    first = F.col("opening") & (F.row_number().over(inside) == 1)
-    return (
-        starts.join(big(nexts), ["entity", "bucket"])
-        .withColumn("is_first", first)
-        .withColumn("valid_to", F.coalesce(F.lead("seen").over(inside), "next_start"))
-        .join(big(earliest), "entity", "left")
-        .select(
-            "entity",
-            "value",
-            F.when(F.col("is_first"), F.least("seen", "born")).otherwise(F.col("seen")).alias("valid_from"),
-            "valid_to",
-        )
+        F.col("start.value").alias("value"),
+        F.when(F.col("carried").isNull() & (F.col("i") == 0), F.least("start.seen", "born")).otherwise(F.col("start.seen")).alias("valid_from"),
+        F.coalesce(F.get("starts", F.col("i") + 1)["seen"], "next_start").alias("valid_to"),
     )
 
 
@@ -125,35 +103,96 @@ def rebuild_affected(chains: DataFrame, raw: DataFrame, batch: DataFrame) -> Dat
     return kept.unionByName(again)
 
 
+def chains_after(raw: DataFrame, late: Column) -> DataFrame:
+    """Chains of ``raw`` after its ``late`` readings came in on those built from the rest.
+
+    What ``rebuild_affected`` gives, but earlier chains that the late readings
+    replace are never built: one pass marks the readings of touched entities.
+    """
+    rows = cut(raw.withColumn("late", F.coalesce(late, F.lit(False))))
+    touched = rows.where("late").select("entity").distinct().withColumn("touched", F.lit(True))
+    marked = cut(rows.join(big(touched), "entity", "left"))
+    kept = build_chains(marked.where("touched IS NULL"))
+    return kept.unionByName(build_chains(marked.where("touched")))
+
+
 class ChainStore:
-    """Chains in a shared folder; a new state becomes visible at once or not at all.
+    """Chains in a shared folder of any Hadoop file system; a new state becomes visible at once or not at all.
 
-    Each state is a folder of its own; a small pointer file, replaced by rename,
-    names the current one.
+    Chains lie in ``buckets`` by their entity. A batch rewrites the buckets of the
+    entities it touches, into files of their own; a small table of contents, replaced
+    by one rename, says where each bucket lies now. Files that no table of contents names any
+    longer go with ``vacuum``.
     """
 
-    def __init__(self, spark, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark, folder: str, buckets: int = 64):
+        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
+        jvm = spark._jvm
+        self._path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        conf = spark._jsc.hadoopConfiguration()
+        self._files = self._path("x").getFileSystem(conf)
+        self._swap = lambda a, b: jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("x").toUri(), conf).rename(
+            a, b, self._overwrite()
+        )
 
-    def _pointer(self) -> str:
-        return os.path.join(self.folder, "CURRENT.json")
+    def _overwrite(self):
+        kinds = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        kinds[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        return kinds
+
+    def contents(self) -> dict[str, str]:
+        """Where each bucket lies now."""
+        at = self._path("CURRENT.json")
+        if not self._files.exists(at):
+            return {}
+        stream = self._files.open(at)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _read(self, places: list[str]) -> DataFrame | None:
+        return self.spark.read.parquet(*[f"{self.folder}/{p}" for p in places]) if places else None
 
     def current(self) -> DataFrame | None:
-        if not os.path.exists(self._pointer()):
-            return None
-        with open(self._pointer()) as f:
-            return self.spark.read.parquet(os.path.join(self.folder, json.load(f)["state"]))
+        """All chains; None before the first batch."""
+        return self._read(sorted(self.contents().values()))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("entity"), F.lit(self.buckets)).cast("int")
 
-    def publish(self, chains: DataFrame) -> str:
+    def _publish(self, chains: DataFrame, touched: list[int], before: dict[str, str]) -> None:
         state = f"state-{uuid.uuid4().hex}"
-        chains.write.parquet(os.path.join(self.folder, state))
-        staged = f"{self._pointer()}.{state}"
-        with open(staged, "w") as f:
-            json.dump({"state": state}, f)
-        os.replace(staged, self._pointer())
-        return state
-
-    def apply(self, raw: DataFrame, batch: DataFrame) -> str:
-        """Rebuilds what ``batch`` touches and publishes the new state."""
-        chains = self.current()
-        return self.publish(build_chains(batch) if chains is None else rebuild_affected(chains, raw, batch))
+        chains.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{state}")
+        now = {k: v for k, v in before.items() if int(k) not in touched}
+        for k in touched:
+            if self._files.exists(self._path(f"{state}/bucket={k}")):
+                now[str(k)] = f"{state}/bucket={k}"
+        staged = self._path(f"CURRENT.{state}.json")
+        out = self._files.create(staged)
+        out.write(bytearray(json.dumps(now).encode()))
+        out.close()
+        self._swap(staged, self._path("CURRENT.json"))
+
+    def apply(self, raw: DataFrame, batch: DataFrame) -> None:
+        """Rebuilds what ``batch`` touches and publishes the new state; buckets without touched entities keep their files."""
+        before = self.contents()
+        touched = [r.k for r in batch.select(self._bucket().alias("k")).distinct().collect()]  # as many as buckets at most
+        old = self._read([before[str(k)] for k in touched if str(k) in before])
+        if old is None:
+            again = build_chains(raw.join(big(touched_entities(batch)), "entity", "left_semi").unionByName(batch))
+        else:
+            again = rebuild_affected(old, raw, batch)
+        self._publish(again, touched, before)
+
+    def vacuum(self) -> int:
+        """Removes files of earlier states; gives the number of folders removed. For times without readers."""
+        used = set(self.contents().values())
+        gone = 0
+        for state in self._files.listStatus(self._path("")):
+            if state.isDirectory() and state.getPath().getName().startswith("state-"):
+                for one in self._files.listStatus(state.getPath()):
+                    if one.isDirectory() and f"{state.getPath().getName()}/{one.getPath().getName()}" not in used:
+                        self._files.delete(one.getPath(), True)
+                        gone += 1
+        return gone

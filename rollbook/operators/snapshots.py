@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.times import iso_second, run_start
-from rollbook.session import shuffle_width
+from rollbook.session import big, cut, shuffle_width
 
 #: Runs are metadata, one a day or so; their ids go to every task.
 MAX_RUNS = 100_000
+#: Rows of one hash bucket, about.
+BUCKET_ROWS = 200_000
 
 
 def folded(column: Column) -> Column:
@@ -36,7 +38,8 @@ def diff_bucket(pdf: pd.DataFrame, runs: list[int]) -> pd.DataFrame:
     """All runs of one hash bucket, as compact arrays.
 
     ``run`` (long form of the id), ``entity``, ``row_hash`` and ``fails`` (ids of
-    the runs in which the entity's source failed, comma separated).
+    the runs in which the entity's source failed, comma separated). ``before`` of the
+    result is the run whose state a change is told from, 0 for added ones.
     """
     source, names = pd.factorize(pdf["fails"], use_na_sentinel=False)
     bad = [set(int(x) for x in (n or "").split(",") if x) for n in names]
@@ -44,32 +47,37 @@ def diff_bucket(pdf: pd.DataFrame, runs: list[int]) -> pd.DataFrame:
     order = np.lexsort((entity, run))
     run, entity, row_hash, source = run[order], entity[order], row_hash[order], source[order]
     edges = np.searchsorted(run, runs + [np.iinfo(np.int64).max])
-    keys, hashes, sources = entity[:0], row_hash[:0], source[:0]
-    out_run, out_key, out_kind = [], [], []
+    keys, hashes, sources, since = entity[:0], row_hash[:0], source[:0], run[:0]
+    out_run, out_key, out_kind, out_before = [], [], [], []
     for k, this in enumerate(runs):
         silent = np.fromiter((this in b for b in bad), bool, len(bad))
         lo, hi = edges[k], np.searchsorted(run, this, side="right")
         told = ~silent[source[lo:hi]] if len(bad) else np.zeros(0, bool)
         new_keys, new_hashes, new_sources = entity[lo:hi][told], row_hash[lo:hi][told], source[lo:hi][told]
         waits = silent[sources] if len(sources) else np.zeros(0, bool)
-        old_keys, old_hashes = keys[~waits], hashes[~waits]
+        old_keys, old_hashes, old_since = keys[~waits], hashes[~waits], since[~waits]
         added, removed, changed = _diff_sorted(old_keys, old_hashes, new_keys, new_hashes)
         if k:
-            for kind, found in (("ADDED", new_keys[added]), ("REMOVED", old_keys[removed]), ("CHANGED", new_keys[changed])):
+            were = old_since[np.searchsorted(old_keys, new_keys[changed])]
+            for kind, found, told in (
+                ("ADDED", new_keys[added], np.zeros(int(added.sum()), np.int64)), ("REMOVED", old_keys[removed], old_since[removed]), ("CHANGED", new_keys[changed], were)
+            ):
                 out_run.append(np.full(len(found), this, np.int64))
                 out_key.append(found)
+                out_before.append(told)
                 out_kind.append(np.full(len(found), kind, object))
         # Sources that said nothing keep the state before; a key told anew leaves it.
         still = waits & ~np.isin(keys, new_keys)
         keys = np.concatenate([keys[still], new_keys])
         hashes = np.concatenate([hashes[still], new_hashes])
         sources = np.concatenate([sources[still], new_sources])
+        since = np.concatenate([since[still], np.full(len(new_keys), this, np.int64)])
         by_key = np.argsort(keys, kind="stable")
-        keys, hashes, sources = keys[by_key], hashes[by_key], sources[by_key]
+        keys, hashes, sources, since = keys[by_key], hashes[by_key], sources[by_key], since[by_key]
     if not out_run:
-        return pd.DataFrame({"run": [], "entity": [], "change_type": []})
+        return pd.DataFrame({"run": [], "entity": [], "change_type": [], "before": []})
     return pd.DataFrame(
-        {"run": np.concatenate(out_run), "entity": np.concatenate(out_key), "change_type": np.concatenate(out_kind)}
+        {"run": np.concatenate(out_run), "entity": np.concatenate(out_key), "change_type": np.concatenate(out_kind), "before": np.concatenate(out_before)}
     )
 
 
@@ -123,13 +131,12 @@ def snapshot_changes(
     failed = (
         run_outcomes.where("had_error")
         .select(F.col("authority").alias("source"), _as_long(F.trim("run_id")).alias("run"))
-        .where(F.col("run").isin(longs) if longs else F.lit(False))
+        .join(F.broadcast(spark.createDataFrame([(r,) for r in longs], "run long")), "run", "left_semi")  # MAX_RUNS rows at most
     )
     fails = failed.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("run")), ",").alias("fails"))
     seen = iso_second(F.col("last_seen"))
-    present = snapshots.where(F.col("run_id").isin(runs) if runs else F.lit(False)).where(
-        F.col(entity).isNotNull() & (seen >= run_start(F.col("run_id")))
-    )
+    full = F.broadcast(spark.createDataFrame([(r,) for r in runs], "run_id string"))  # MAX_RUNS rows at most
+    present = snapshots.join(full, "run_id", "left_semi").where(F.col(entity).isNotNull() & (seen >= run_start(F.col("run_id"))))
     compact = present.select(
         _as_long(F.col("run_id")).alias("run"),
         F.col(entity).cast("long").alias("entity"),
@@ -144,52 +151,32 @@ def snapshot_changes(
         .join(fails, "source", "left")
         .select("run", "entity", "row_hash", F.coalesce("fails", F.lit("")).alias("fails"))
     )
-    width = max(shuffle_width(spark), 16)
-    changes = (
-        latest.groupBy(F.pmod(F.xxhash64("entity"), F.lit(width)).alias("bucket"))
-        .applyInPandas(lambda pdf: diff_bucket(pdf, longs), "run long, entity long, change_type string")
-        .select(
-            F.regexp_replace(F.col("run").cast("string"), r"^(\d{8})(\d{6})$", "$1T$2").alias("run_id"),
-            F.col("entity").alias(entity),
-            "change_type",
-        )
+    # Buckets of a bounded size, however many rows there are; an entity has one row for each run at most.
+    width = max(shuffle_width(spark), -(-snapshots.count() // BUCKET_ROWS))
+    changes = latest.groupBy(F.pmod(F.xxhash64("entity"), F.lit(width)).alias("bucket")).applyInPandas(
+        lambda pdf: diff_bucket(pdf, longs), "run long, entity long, change_type string, before long"
     )
+    named = changes.select(_as_id(F.col("run")).alias("run_id"), F.col("entity").alias(entity), "change_type", _as_id(F.col("before")).alias("_before"))
     if not with_values:
-        return changes
-    return _with_values(changes, present, failed, entity, watched)
+        return named.drop("_before")
+    return _with_values(named.where("change_type = 'CHANGED'").drop("change_type"), present, entity, watched)
 
 
-def _with_values(changes, present, failed, entity, watched):
-    """Values of changed keys before and after; only rows of changed keys travel.
+def _as_id(run: Column) -> Column:
+    return F.regexp_replace(run.cast("string"), r"^(\d{8})(\d{6})$", "$1T$2")
 
-    As in the comparison, a row counts by its source: where that failed in the run, the state before holds.
-    """
-    changed = changes.where("change_type = 'CHANGED'").select("run_id", entity)
-    keys = changed.select(entity).distinct()
+
+def _with_values(changed: DataFrame, present: DataFrame, entity: str, watched: tuple[str, ...]) -> DataFrame:
+    """Values of changed keys in their run and in the run whose state they are compared with; only those rows travel."""
+    changed = cut(changed)
+    keys = changed.select(entity, F.explode(F.array("run_id", "_before")).alias("run_id")).distinct()
     rows = (
-        present.join(keys, entity, "left_semi")
+        present.join(keys, [entity, "run_id"], "left_semi")
         .groupBy(entity, "run_id")
-        .agg(
-            F.max(
-                F.struct("loaded_at", F.xxhash64(*[folded(F.col(c)) for c in watched]).alias("h"), F.col("authority").alias("source"), *watched)
-            ).alias("row")
-        )
-        .withColumns({"source": F.col("row.source"), "run": _as_long(F.col("run_id"))})
-        .join(failed, ["source", "run"], "left_anti")
+        .agg(F.max(F.struct("loaded_at", F.xxhash64(*[folded(F.col(c)) for c in watched]).alias("h"), *watched)).alias("row"))
     )
-    marked = rows.join(changed.withColumn("hit", F.lit(True)), [entity, "run_id"], "left")
-    # At most one row for each run is left of an entity.
-    from pyspark.sql import Window
-
-    along = Window.partitionBy(entity).orderBy("run_id")
-    before = F.lag("row").over(along)
-    return (
-        marked.select(entity, "run_id", "hit", F.col("row").alias("now"), before.alias("was"))
-        .where("hit")
-        .select(
-            "run_id",
-            entity,
-            *[F.col(f"was.{c}").alias(f"{c}_before") for c in watched],
-            *[F.col(f"now.{c}").alias(f"{c}_after") for c in watched],
-        )
+    now = rows.select(entity, "run_id", *[F.col(f"row.{c}").alias(f"{c}_after") for c in watched])
+    was = rows.select(entity, F.col("run_id").alias("_before"), *[F.col(f"row.{c}").alias(f"{c}_before") for c in watched])
+    return changed.join(big(was), [entity, "_before"]).join(big(now), [entity, "run_id"]).select(
+        "run_id", entity, *[f"{c}_before" for c in watched], *[f"{c}_after" for c in watched]
     )

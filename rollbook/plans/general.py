@@ -29,8 +29,7 @@ def p1_found(spark: SparkSession, directory: str) -> DataFrame:
     raw = _status_readings(table(spark, directory, "listing_updates"))
     last = raw.agg(F.date_trunc("day", F.max("received")).alias("t")).first().t
     late = F.lit(False) if last is None else F.col("received") >= F.lit(last)
-    old, batch = raw.where(~F.coalesce(late, F.lit(False))), raw.where(late)
-    chains = history.rebuild_affected(history.build_chains(old), old, batch)
+    chains = history.chains_after(raw, late)
     return chains.select(
         F.col("entity").cast("long").alias("listing_id"),
         F.col("value").alias("listing_status"),
@@ -107,5 +106,15 @@ def p5_values(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+P5_VALUES_SQL = (
+    P5_SQL[: P5_SQL.index("d AS (SELECT run_id")].replace("}).x AS x", ", 'n': property_name, 's': listing_status}) AS r").replace("p.x", "p.r").rstrip().rstrip(",")
+    + """
+SELECT run_id, listing_id, was.r.n AS property_name_before, was.r.s AS listing_status_before,
+  now.r.n AS property_name_after, now.r.s AS listing_status_after
+FROM now JOIN was USING (run_id, listing_id) WHERE was.r.x <> now.r.x AND run_id > (SELECT min(run_id) FROM fr)
+"""
+)
+
+
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_values": p5_values}
-SQL = {"p1_found": P1_SQL, "p5_found": P5_SQL}
+SQL = {"p1_found": P1_SQL, "p5_found": P5_SQL, "p5_values": P5_VALUES_SQL}

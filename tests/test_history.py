@@ -103,3 +103,24 @@ def test_store_swaps_whole_states(spark, tmp_path):
     assert chains(store.current()) == brute(rows[:80])
     store.apply(read(spark, rows[:80]), read(spark, rows[80:]))
     assert chains(store.current()) == brute(rows)
+
+
+def test_batches_leave_other_buckets_alone(spark, tmp_path):
+    rows = sample(200, 6)
+    late = [r for r in sample(40, 7) if r[0] == 2]
+    store = history.ChainStore(spark, str(tmp_path), buckets=8)
+    store.apply(read(spark, []), read(spark, rows))
+    before = store.contents()
+    files = {k: sorted((f.name, f.stat().st_mtime_ns) for f in (tmp_path / v).iterdir()) for k, v in before.items()}
+    store.apply(read(spark, rows), read(spark, late))
+    after = store.contents()
+    assert chains(store.current()) == brute(rows + late)
+    same = [k for k in before if after.get(k) == before[k]]
+    assert len(same) == len(before) - 1 and all(sorted((f.name, f.stat().st_mtime_ns) for f in (tmp_path / after[k]).iterdir()) == files[k] for k in same)
+    assert store.vacuum() == 1 and chains(store.current()) == brute(rows + late)
+
+
+def test_late_readings_marked_in_one_pass(spark):
+    rows = sample(300, 9)
+    cases = (F.lit(False), F.lit(True), F.col("received") >= F.lit(datetime(2025, 1, 30)))
+    assert all(chains(history.chains_after(read(spark, rows), late)) == brute(rows) for late in cases)
