@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.session import cut
+
 LOST = "�"
 #: Character sets a text may wrongly have been read in, and true ones of one or two bytes besides UTF-8.
 READ_AS = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "iso8859_15", "mac_cyrillic", "cp866")
@@ -356,7 +358,8 @@ def corpus_frequencies(documents: DataFrame, text: str = "text") -> tuple[dict[s
             rows = [("c", c, n) for c, n in chars.items()] + [("w", w, n) for w, n in words.items()] + [("n", "", texts_here)]
             yield pd.DataFrame(rows, columns=["kind", "key", "n"])
 
-    counts = distinct.select("text").mapInPandas(count, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    # Written once: the number of texts decides which words are kept.
+    counts = cut(distinct.select("text").mapInPandas(count, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     totals = counts.where("kind = 'n'").first()
     least = max(WORD_LEAST, (totals.n if totals else 0) * WORD_SHARE)
     kept = counts.where((F.col("kind") == "c") | ((F.col("kind") == "w") & (F.col("n") >= least))).collect()

@@ -20,6 +20,8 @@ from rollbook.session import big, cut
 LEVELS = ("high", "medium", "low")
 #: Sources are few (adapters, feeds); their quality numbers fit the driver.
 MAX_SOURCES = 10_000
+#: Trust put in every source beforehand, as sensitivity and specificity, and its weight as a share of what the source is judged by.
+TRUST, TRUST_SHARE = 0.8, 0.25
 
 
 def usable_phone(column: Column) -> Column:
@@ -123,6 +125,12 @@ def _posterior(stated: list[str], silent: list[str], quality: dict[str, tuple[fl
     return float(1 / (1 + np.exp(np.clip(false - true, -500, 500))))
 
 
+def _trusted(right: float, of: float) -> float:
+    """Share of ``right`` among ``of`` with the trust put in beforehand."""
+    weight = 5 + TRUST_SHARE * of
+    return (right + TRUST * weight) / (of + weight)
+
+
 def judged_values(
     records: DataFrame, group: str = "mirror_key", source: str = "source", rounds: int = 20, least: float = 0.5
 ) -> tuple[DataFrame, DataFrame]:
@@ -134,6 +142,8 @@ def judged_values(
 
     Values of like patterns (who states, who covers without stating) are counted
     first; expectation-maximisation runs over patterns, the data is read twice only.
+    It starts from, and leans to, sources that are mostly right: where the data say
+    little about a source, true and false cannot change places.
     """
     stated = cut(claims(records, group, source))
     covering = stated.groupBy("group", "field").agg(F.array_sort(F.collect_set("source")).alias("covering"))
@@ -171,8 +181,7 @@ def judged_values(
         )
         if not totals:
             break
-        # One pseudo-count each way and a little trust keep the numbers inside (0, 1).
-        fresh = {r.source: ((r.hit + 4) / (r.true + 5), (r.kept_out + 4) / (r.false + 5)) for r in totals if r.source}
+        fresh = {r.source: (_trusted(r.hit, r.true), _trusted(r.kept_out, r.false)) for r in totals if r.source}
         whole = next(r for r in totals if r.source == "")
         prior = float(np.clip(whole.hit / whole.true, 0.05, 0.95))
         moved = max((abs(a - b) for s in fresh for a, b in zip(fresh[s], quality[s])), default=0.0)

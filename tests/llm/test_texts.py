@@ -45,6 +45,31 @@ def test_quality_model_finds_bad_source(spark):
     assert none.count() == 0 and nobody.count() == 0
 
 
+def test_quality_model_keeps_several_true_values(spark):
+    """Two true phones to a group; sources leave out and make up values at rates that the fit must find again."""
+    rng = random.Random(4)
+    planted = {"a": (0.95, 0.97), "b": (0.85, 0.9), "c": (0.7, 0.95), "d": (0.6, 0.6)}
+    rows, truth, false = [], set(), set()
+    for g in range(500):
+        values = {f"408{g:03d}{k}{rng.randrange(10**3):03d}": k < 2 for k in range(4)}
+        for value, good in values.items():
+            (truth if good else false).add((f"k{g}", value))
+            for s, (sensitivity, specificity) in planted.items():
+                if rng.random() < (sensitivity if good else 1 - specificity):
+                    rows.append((f"k{g}", len(rows), value, "", s))
+    df = spark.createDataFrame(rows, "mirror_key string, row_id long, phone string, email string, source string")
+    judged, quality = survivors.judged_values(df)
+    kept = {(r.mirror_key, r.value) for r in judged.where("kept").collect()}
+    stated = {(r[0], r[2]) for r in rows}
+    assert len(kept & truth) > 0.95 * len(truth & stated) and len(kept & truth) > 0.93 * len(kept)
+    for r in quality.collect():
+        assert abs(r.sensitivity - planted[r.source][0]) < 0.1, r
+        assert r.sensitivity + r.specificity > 1
+    order = sorted(planted, key=lambda s: -sum(planted[s]))
+    found = {r.source: r.sensitivity + r.specificity for r in quality.collect()}
+    assert sorted(found, key=lambda s: -found[s])[0] == order[0] and sorted(found, key=lambda s: -found[s])[-1] == order[-1]
+
+
 TEXTS = [
     None, "", " ", "Hello's world  \n\n x", "a" * 700, "中文字符，没有空格" * 60, "don't won't I'll 'll 's", "x " * 900, "\t\t  \n" * 200, "🏠🔑 é́ ​" * 50, "1234567890" * 40, "<|endoftext|> stays text " * 30, "''''''lllll'll" * 40,
 ]
