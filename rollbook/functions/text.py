@@ -29,7 +29,7 @@ STREET_FORMS = (
 )
 # Labels of listing statuses.
 STATUS_LABELS = {"open": "Open", "waitlist": "Waitlist", "coming_soon": "Coming Soon", "closed": "Closed"}
-KEY_MARK = "hls:"
+KEY_MARK = "roll:"
 
 
 def said(column: Column) -> Column:

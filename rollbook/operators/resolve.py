@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +9,6 @@ from rollbook.functions import text as X
 from rollbook.operators.canonical import KEY
 from rollbook.session import big, cut
 
-MAX_ROUNDS = 12
-
 
 def keyed(rows: DataFrame) -> DataFrame:
     """Rows with ``ident`` (their own key), ``cross`` (key across sources, may be NULL) and sortable ``rank``.
@@ -58,17 +53,18 @@ def survivors_functional(rows: DataFrame) -> DataFrame:
     return best.unionByName(alone).select(*rows.columns)
 
 
-def survivors_exact(rows: DataFrame, rounds: int = MAX_ROUNDS) -> DataFrame:
+def survivors_exact(rows: DataFrame) -> DataFrame:
     """Survivors of the greedy scan in order of rank: a row is dropped if an accepted one has its ident or cross key.
 
-    In rounds: every row that leads both of its groups is accepted, rows that share
-    a key with an accepted one go, and so on; that equals the scan. Chains longer
-    than ``rounds`` are finished by the scan itself, on keys and ranks only.
+    In rounds, on keys and ranks only: every row that leads both of its groups is
+    accepted, rows that share a key with an accepted one go, until none is left; that
+    equals the scan. Each round settles every row without a better undecided one
+    beside it, so there are as many rounds as the longest chain of ever better rows.
     """
-    k = keyed(rows)
-    left = cut(k.select("ident", "cross", "rank"))
+    k = cut(keyed(rows))
+    left = k.select("ident", "cross", "rank")
     accepted: DataFrame | None = None
-    for _ in range(rounds):
+    while accepted is None or not left.isEmpty():
         lead_ident = left.groupBy("ident").agg(F.min("rank").alias("lead_ident"))
         lead_cross = left.where("cross IS NOT NULL").groupBy("cross").agg(F.min("rank").alias("lead_cross"))
         won = cut(
@@ -83,32 +79,9 @@ def survivors_exact(rows: DataFrame, rounds: int = MAX_ROUNDS) -> DataFrame:
                 big(won.where("cross IS NOT NULL").select("cross").distinct()), "cross", "left_anti"
             ).select("ident", "cross", "rank")
         )
-        if left.isEmpty():
-            break
-    else:
-        accepted = accepted.unionByName(_scan(left))
     return k.join(big(accepted.select("rank")), "rank", "left_semi").select(*rows.columns)
 
 
-def _scan(left: DataFrame) -> DataFrame:
-    """The sequential scan over what long chains leave."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
-        for pdf in batches:
-            keep = []
-            for ident, cross in zip(pdf["ident"], pdf["cross"]):
-                names = {"i" + ident} | ({"c" + cross} if cross is not None else set())
-                keep.append(not (names & seen))
-                if keep[-1]:
-                    seen |= names
-            yield pdf[keep][["ident", "cross", "packed"]]
-
-    packed = left.select("ident", "cross", F.to_json("rank").alias("packed"), "rank").coalesce(1).sortWithinPartitions("rank")
-    out = packed.select("ident", "cross", "packed").mapInPandas(run, "ident string, cross string, packed string")
-    return out.select("ident", "cross", F.from_json("packed", left.schema["rank"].dataType).alias("rank"))
-
-
 def survivors(rows: DataFrame, mode: str = "exact") -> DataFrame:
     """Rows of one run without cross-source duplicates; ``mode`` functional only where ident determines cross."""
     return survivors_functional(rows) if mode == "functional" else survivors_exact(rows)
@@ -120,13 +93,14 @@ def mirrors(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def aliases(inventory: DataFrame, kept: DataFrame) -> DataFrame:
-    """Keys of stored rows that are a survivor under another authority: same name, and same link or address."""
+    """Keys of stored rows that are a survivor under another authority: same name, and same link or address.
+
+    Two joins, on name and link and on name and address: a name that many rows have, or none, meets nothing by itself.
+    """
     a = inventory.select(*[F.col(c).alias(f"i_{c}") for c in (*KEY, "address")])
-    b = kept.select(*KEY, "address")
-    same = (F.col("i_url") == F.col("url")) & (F.col("url") != "")
-    near = (F.length("address") >= 8) & (F.col("i_address") == F.col("address"))
-    return (
-        a.join(big(b), (a["i_property_name"] == b["property_name"]) & (a["i_authority"] != b["authority"]) & (same | near))
-        .select(*[F.col(f"i_{c}").alias(c) for c in KEY])
-        .distinct()
-    )
+    b = kept.select(*KEY, "address").distinct()
+    other = (F.col("i_property_name") == F.col("property_name")) & (F.col("i_authority") != F.col("authority"))
+    same = a.join(big(b.where("url != ''").select(*KEY).distinct()), other & (F.col("i_url") == F.col("url")))
+    near = a.join(big(b.where(F.length("address") >= 8).select("authority", "property_name", "address").distinct()), other & (F.col("i_address") == F.col("address")))
+    keys = [F.col(f"i_{c}").alias(c) for c in KEY]
+    return same.select(*keys).unionByName(near.select(*keys)).distinct()

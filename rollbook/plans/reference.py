@@ -17,7 +17,6 @@ from rollbook.streaming.runs import windowed_counts
 
 NOW = "2025-06-15T00:00:00"
 TODAY = "2025-06-15"
-RUN = "20240103"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +34,9 @@ def query(sql: str | None = None):
     return add
 
 
+#: White space of Unicode as DuckDB's patterns need it.
+_BLANK = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
 # ---- SQL of the shared expressions -------------------------------------------------------------------------------
 
 
@@ -80,9 +82,9 @@ _STATUS_SQL = (
 _ADDRESS = _address_key_sql("trim(address)")
 _LINK_SQL = (
     f"CASE WHEN {_strip('url')} <> '' THEN {_strip('url')}"
-    f" WHEN length({_ADDRESS}) >= 6 AND regexp_matches({_ADDRESS}, '[0-9]') THEN 'hls:addr:' || {_ADDRESS}"
-    f" WHEN {_strip('source_url')} <> '' AND {_strip('property_name')} <> '' THEN 'hls:src:' || slug || ':' || digest"
-    f" WHEN {_strip('property_name')} <> '' THEN 'hls:prop:' || slug || ':' || digest WHEN slug <> '' THEN 'hls:prop:' || slug || ':unknown' ELSE '' END"
+    f" WHEN length({_ADDRESS}) >= 6 AND regexp_matches({_ADDRESS}, '[0-9]') THEN 'roll:addr:' || {_ADDRESS}"
+    f" WHEN {_strip('source_url')} <> '' AND {_strip('property_name')} <> '' THEN 'roll:src:' || slug || ':' || digest"
+    f" WHEN {_strip('property_name')} <> '' THEN 'roll:prop:' || slug || ':' || digest WHEN slug <> '' THEN 'roll:prop:' || slug || ':unknown' ELSE '' END"
 )
 _RAW_SQL = f"""
 WITH told AS (
@@ -94,7 +96,13 @@ rows AS (
     {_strip('address')} AS address, {_strip('phone')} AS phone, {_strip('email')} AS email, {_strip('confidence')} AS confidence,
     {_STATUS_SQL} AS status, lower({_strip('listing_status')}) AS listing_status,
     coalesce(array_to_string(eligibility_flags, '|'), '') AS eligibility_flags,
-    {_strip("coalesce(nullif(unit_types, ''), bedrooms)")} AS unit_types
+    {_strip("coalesce(nullif(unit_types, ''), bedrooms)")} AS unit_types,
+    {', '.join(f"{_strip(c)} AS {c}" for c in ('deadline', 'bedrooms', 'income_limits', 'administrator', 'source', 'source_url', 'expires_at'))},
+    coalesce(nullif(last_seen, ''), '{NOW}') AS last_seen, coalesce(nullif(first_seen, ''), '{NOW}') AS first_seen, '{NOW}' AS scrape_date,
+    '' AS administrator_url, '' AS administrator_phone, '' AS administrator_contact,
+    regexp_replace(concat_ws(' | ', {_strip('notes')}, CASE WHEN coalesce(address, '') <> '' AND NOT contains({_strip('notes')}, address) THEN 'addr: ' || address END,
+      CASE WHEN coalesce(phone, '') <> '' THEN 'phone: ' || phone END, CASE WHEN coalesce(email, '') <> '' THEN 'email: ' || email END,
+      CASE WHEN coalesce(bedrooms, '') <> '' THEN 'br: ' || bedrooms END), '^[ |]+|[ |]+$', '', 'g') AS notes
   FROM told)"""
 
 
@@ -105,12 +113,10 @@ def _raw(spark: SparkSession, directory: str) -> DataFrame:
 # ---- Canonical rows and keys ------------------------------------------------------------------------------------
 
 
-@query(_RAW_SQL + " SELECT seq, authority, property_name, url, address, phone, email, confidence, status, listing_status, eligibility_flags, unit_types FROM rows")
+@query(_RAW_SQL + " SELECT * FROM rows")
 def canonical_listing(spark, directory):
     """Raw records as canonical rows."""
-    return _raw(spark, directory).select(
-        "seq", "authority", "property_name", "url", "address", "phone", "email", "confidence", "status", "listing_status", "eligibility_flags", "unit_types"
-    )
+    return _raw(spark, directory)
 
 
 @query(f"SELECT record_id, {_name_key_sql('property_name')} AS name_key, {_address_key_sql('address')} AS address_key, {_label_sql('authority')} AS label FROM raw_records")
@@ -122,7 +128,7 @@ def normal_keys(spark, directory):
 
 
 _CROSS_SQL = (
-    f"CASE WHEN url LIKE 'hls:addr:%' THEN 'url:' || url WHEN length({_address_key_sql('address')}) >= 6 AND regexp_matches({_address_key_sql('address')}, '[0-9]')"
+    f"CASE WHEN url LIKE 'roll:addr:%' THEN 'url:' || url WHEN length({_address_key_sql('address')}) >= 6 AND regexp_matches({_address_key_sql('address')}, '[0-9]')"
     f" THEN 'addr:' || {_address_key_sql('address')} WHEN {_name_key_sql('property_name')} <> '' AND {_address_key_sql('address')} <> ''"
     f" THEN 'name_addr:' || {_name_key_sql('property_name')} || ':' || {_address_key_sql('address')} END"
 )
@@ -237,18 +243,18 @@ def allowed_links(spark, directory):
 
 
 @query(
-    """SELECT doc_id, (n - 1)::INTEGER AS n, line FROM (
-    SELECT doc_id, generate_subscripts(parts, 1) AS n, regexp_replace(regexp_replace(unnest(parts), '[\\s\\x{00A0}]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS line
-    FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '\\r?\\n') AS parts FROM documents)) WHERE line <> '' AND regexp_matches(line, '^[ -~]*$')"""
+    f"""SELECT doc_id, (n - 1)::INTEGER AS n, line FROM (
+    SELECT doc_id, generate_subscripts(parts, 1) AS n, regexp_replace(regexp_replace(unnest(parts), '{_BLANK}+', ' ', 'g'), '^ | $', '', 'g') AS line
+    FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '\\r?\\n') AS parts FROM documents)) WHERE line <> ''"""
 )
 def text_lines(spark, directory):
-    """ASCII lines of texts, white space collapsed."""
-    return docs.lines_of(table(spark, directory, "documents"), "doc_id", "text").where(F.col("line").rlike(r"^[\x20-\x7e]*$"))
+    """Lines of texts, white space collapsed."""
+    return docs.lines_of(table(spark, directory, "documents"), "doc_id", "text")
 
 
-@query()
+@query(SQL["text_lines"])
 def document_lines(spark, directory):
-    """All lines of texts, white space collapsed; no SQL, as DuckDB's white space is that of ASCII."""
+    """The same lines, under the name of the source they are made for."""
     return docs.lines_of(table(spark, directory, "documents"), "doc_id", "text")
 
 
@@ -272,7 +278,7 @@ def _escaped(c: str):
 
 
 def _clean_sql(c: str) -> str:
-    return f"trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(coalesce({c}, ''), '{_BLANK}+', ' ', 'g'))"
 
 
 def cards_of(mirror):
@@ -288,18 +294,17 @@ def cards_of(mirror):
 
 @query(
     f"""SELECT row_id, {_clean_sql('property_name')} AS property_name, 'https://x.example/p/' || row_id AS url, nullif({_clean_sql('address')}, '') AS address FROM mirror_records
-    WHERE {_clean_sql('property_name')} <> '' AND NOT regexp_matches(coalesce(property_name, '') || coalesce(address, ''), '[^ -~\\s]')"""
+    WHERE {_clean_sql('property_name')} <> ''"""
 )
 def html_cards(spark, directory):
-    """Directory cards of mirror records in ASCII."""
-    ascii_only = F.concat(X.said(F.col("property_name")), X.said(F.col("address"))).rlike(r"^[\x20-\x7e\s]*$") & (F.trim(X.said(F.col("property_name"))) != "")
-    return cards_of(table(spark, directory, "mirror_records").where(ascii_only))
+    """Directory cards of all named mirror records."""
+    return cards_of(table(spark, directory, "mirror_records").where(X.stripped(F.col("property_name")) != ""))
 
 
-@query()
+@query(SQL["html_cards"])
 def mirror_cards(spark, directory):
-    """Directory cards of all named mirror records; no SQL, as DuckDB's white space is that of ASCII."""
-    return cards_of(table(spark, directory, "mirror_records").where(X.stripped(F.col("property_name")) != ""))
+    """The same cards, under the name of the table they are made of."""
+    return html_cards(spark, directory)
 
 
 @query(
@@ -359,7 +364,7 @@ def _doc_rows(spark, directory):
     d = table(spark, directory, "documents").where(F.trim(X.said(F.col("text"))) != "")
     h = F.sha2("text", 256)
     return d.select(
-        F.col("source").alias("authority"), F.concat(F.lit("doc "), h).alias("property_name"), F.concat(F.lit("hls:addr:"), h).alias("url"), F.lit("").alias("address"),
+        F.col("source").alias("authority"), F.concat(F.lit("doc "), h).alias("property_name"), F.concat(F.lit("roll:addr:"), h).alias("url"), F.lit("").alias("address"),
         F.lit("").alias("phone"), F.lit("").alias("email"), F.when(F.col("lang") == "en", "high").otherwise("low").alias("confidence"), F.col("doc_id").alias("seq"),
     )
 
@@ -379,7 +384,16 @@ def survivors_rounds(spark, directory):
     return resolve.survivors(_doc_rows(spark, directory), "exact").select(F.col("seq").alias("doc_id"))
 
 
-@query()
+@query(
+    "WITH RECURSIVE"
+    + _RAW_SQL.replace("WITH told", " told", 1)
+    + f""", keyed AS (SELECT seq, authority, property_name, url, 'i' || concat_ws(chr(1), authority, property_name, url) AS ident, 'c' || {_CROSS_SQL} AS crossed,
+    row_number() OVER (ORDER BY {_TRUST_SQL} DESC, (phone = '' AND email = '')::INT, (url = '')::INT, seq) AS n FROM rows WHERE authority <> '' AND property_name <> ''),
+    scan AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS names, false AS keep
+      UNION ALL SELECT k.n, CASE WHEN list_has_any(names, [ident, crossed]) THEN names ELSE list_concat(names, list_filter([ident, crossed], lambda x: x IS NOT NULL)) END, NOT list_has_any(names, [ident, crossed])
+      FROM scan JOIN keyed k ON k.n = scan.n + 1)
+    SELECT seq, authority, property_name, url FROM scan JOIN keyed USING (n) WHERE keep"""
+)
 def survivors_exact(spark, directory):
     """Raw records without cross-source duplicates, by the exact two-key scan."""
     return resolve.survivors(canonical.complete(_raw(spark, directory)), "exact").select("seq", "authority", "property_name", "url")
@@ -407,14 +421,23 @@ def alias_rows(spark, directory):
     return resolve.aliases(rows, rows)
 
 
+# Kind of a stored row.
+_KIND_SQL = f"""CASE WHEN lower({_strip('source')}) LIKE 'housekeys:%' THEN 'portal'
+  WHEN lower({_strip('property_name')}) LIKE '%via housekeys%' THEN 'portal'
+  WHEN lower({_strip('property_name')}) IN ({', '.join(f"'{x}'" for x in canonical.PROGRAM_NAMES)}) THEN 'program'
+  WHEN {_strip('address')} = '' AND length({_strip('property_name')}) < 24 AND upper({_strip('property_name')}) = {_strip('property_name')} AND lower({_strip('property_name')}) <> {_strip('property_name')}
+    AND {_strip('property_name')} LIKE '% %' THEN 'program' ELSE 'property' END"""
+
+
 # ---- Inventory of events: run = day, source = event type, entity = user ------------------------------------------
 
 _INV_SQL = """
-WITH o AS (SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS authority, user_id::VARCHAR AS property_name, ts FROM events),
+WITH d AS (SELECT max(day) AS run, max(day) FILTER (day < top) AS before FROM (SELECT DISTINCT strftime(ts, '%Y%m%d') AS day, strftime((SELECT max(ts) FROM events), '%Y%m%d') AS top FROM events)),
+o AS (SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS authority, user_id::VARCHAR AS property_name, ts FROM events),
 i AS (SELECT authority, property_name, min(run_id) AS first_run_id, max(run_id) AS last_run_id, min(ts) AS first_seen, max(ts) AS last_seen
-      FROM o WHERE run_id <= '20240103' GROUP BY 1, 2),
-l AS (SELECT *, CASE WHEN last_run_id = '20240103' THEN CASE WHEN first_run_id = '20240103' THEN 'NEW' ELSE 'UPDATED' END
-      WHEN authority = 'error' THEN 'SCRAPE_FAILED' ELSE 'STALE' END AS change_type FROM i)"""
+      FROM o GROUP BY 1, 2),
+l AS (SELECT *, CASE WHEN last_run_id = run THEN CASE WHEN first_run_id = run THEN 'NEW' ELSE 'UPDATED' END
+      WHEN authority = 'error' THEN 'SCRAPE_FAILED' ELSE 'STALE' END AS change_type FROM i, d)"""
 
 
 def _observations(spark, directory):
@@ -424,10 +447,15 @@ def _observations(spark, directory):
     )
 
 
-def _event_inventory(spark, directory, upto: str = RUN):
+def _event_runs(spark, directory) -> list[str]:
+    """The last two days of events; a day is a run."""
+    days = table(spark, directory, "events").select(F.date_format("ts", "yyyyMMdd").alias("run_id")).distinct()
+    return [r.run_id for r in days.orderBy(F.desc("run_id")).limit(2).collect()] + ["", ""]
+
+
+def _event_inventory(spark, directory):
     return (
         _observations(spark, directory)
-        .where(F.col("run_id") <= upto)
         .groupBy("authority", "property_name", "url")
         .agg(
             F.min("run_id").alias("first_run_id"), F.max("run_id").alias("last_run_id"), F.date_format(F.min("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("first_seen"),
@@ -443,20 +471,20 @@ def _failed(spark):
 @query(_INV_SQL + " SELECT authority, property_name, first_run_id, last_run_id, change_type FROM l")
 def run_diff(spark, directory):
     """Label of every entity after a run."""
-    return changes.classify(_event_inventory(spark, directory), RUN, _failed(spark)).select("authority", "property_name", "first_run_id", "last_run_id", "change_type")
+    return changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark)).select("authority", "property_name", "first_run_id", "last_run_id", "change_type")
 
 
 @query(_INV_SQL + " SELECT v.change_type, count(l.change_type)::BIGINT AS n FROM (VALUES ('NEW'), ('UPDATED'), ('STALE'), ('SCRAPE_FAILED')) v(change_type) LEFT JOIN l USING (change_type) GROUP BY 1")
 def run_diff_counts(spark, directory):
     """Number of entities with each label."""
-    return changes.label_counts(changes.classify(_event_inventory(spark, directory), RUN, _failed(spark)))
+    return changes.label_counts(changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark)))
 
 
 @query(_INV_SQL + " SELECT authority, property_name, change_type FROM l WHERE authority = 'click'")
 def run_diff_partial(spark, directory):
     """Labels of a partial run: one source only."""
     only = spark.createDataFrame([("click",)], "authority string")
-    return changes.classify(_event_inventory(spark, directory), RUN, _failed(spark), only).select("authority", "property_name", "change_type")
+    return changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark), only).select("authority", "property_name", "change_type")
 
 
 @query(
@@ -465,45 +493,45 @@ def run_diff_partial(spark, directory):
 )
 def diff_by_time(spark, directory):
     """Labels where no run is known."""
-    return _event_inventory(spark, directory, "99999999").select("authority", "property_name", changes.change_label_by_time("2024-01-31T00:00:00").alias("change_type"))
+    return _event_inventory(spark, directory).select("authority", "property_name", changes.change_label_by_time("2024-01-31T00:00:00").alias("change_type"))
 
 
 @query(
-    """WITH s AS (SELECT run_id, user_id, max_by(event_type, (ts, event_id)) AS st FROM (SELECT strftime(ts, '%Y%m%d') AS run_id, * FROM events) GROUP BY 1, 2),
-    b AS (SELECT * FROM s WHERE run_id = '20240102'), a AS (SELECT * FROM s WHERE run_id = '20240103')
+    """WITH s AS (SELECT run_id, user_id, max_by(event_type, (ts, event_id)) AS st FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'first' ELSE 'second' END AS run_id, * FROM events) GROUP BY 1, 2),
+    b AS (SELECT * FROM s WHERE run_id = 'first'), a AS (SELECT * FROM s WHERE run_id = 'second')
     SELECT CASE WHEN b.st IS NULL THEN 'ADDED' WHEN a.st IS NULL THEN 'REMOVED' ELSE 'STATUS_CHANGE' END AS event, coalesce(a.user_id, b.user_id)::VARCHAR AS property_name, b.st AS old, a.st AS new
     FROM b FULL JOIN a USING (user_id) WHERE b.st IS DISTINCT FROM a.st"""
 )
 def snapshot_status_diff(spark, directory):
-    """Added, removed and changed between two days' last states."""
-    e = table(spark, directory, "events").withColumn("run_id", F.date_format("ts", "yyyyMMdd"))
+    """Added, removed and changed between the last states of two halves of a month."""
+    e = table(spark, directory, "events").withColumn("run_id", F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), "first").otherwise("second"))
     last = e.groupBy("run_id", "user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("status"))
     rows = last.select("run_id", F.lit("all").alias("authority"), F.col("user_id").cast("string").alias("property_name"), F.lit("").alias("url"), "status", F.lit("").alias("listing_status"))
-    out = changes.snapshot_diff(rows.where("run_id = '20240102'"), rows.where("run_id = '20240103'"))
+    out = changes.snapshot_diff(rows.where("run_id = 'first'"), rows.where("run_id = 'second'"))
     return out.select("event", "property_name", "old", "new")
 
 
 @query(
     _INV_SQL
-    + """ SELECT CASE WHEN change_type = 'NEW' THEN 'ADDED' WHEN change_type = 'SCRAPE_FAILED' THEN 'SCRAPE_FAILED' WHEN last_run_id = '20240102' THEN 'REMOVED' ELSE 'STALE' END AS event,
+    + """ SELECT CASE WHEN change_type = 'NEW' THEN 'ADDED' WHEN change_type = 'SCRAPE_FAILED' THEN 'SCRAPE_FAILED' WHEN last_run_id = before THEN 'REMOVED' ELSE 'STALE' END AS event,
     authority, property_name FROM l WHERE change_type <> 'UPDATED'"""
 )
 def staff_events(spark, directory):
     """Events for staff after a run."""
-    labelled = changes.classify(_event_inventory(spark, directory), RUN, _failed(spark))
+    labelled = changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark))
     none = spark.createDataFrame([], "authority string, property_name string, url string, status string, listing_status string")
-    return changes.staff_events(labelled, "20240102", _failed(spark), none, none).select("event", "authority", "property_name")
+    return changes.staff_events(labelled, _event_runs(spark, directory)[1], _failed(spark), none, none).select("event", "authority", "property_name")
 
 
 @query(
-    _INV_SQL + """ SELECT CASE WHEN change_type = 'NEW' THEN 'ADDED' WHEN change_type = 'SCRAPE_FAILED' THEN 'SCRAPE_FAILED' WHEN last_run_id = '20240102' THEN 'REMOVED' ELSE 'STALE' END AS event,
+    _INV_SQL + """ SELECT CASE WHEN change_type = 'NEW' THEN 'ADDED' WHEN change_type = 'SCRAPE_FAILED' THEN 'SCRAPE_FAILED' WHEN last_run_id = before THEN 'REMOVED' ELSE 'STALE' END AS event,
     authority || ' — ' || property_name AS entry FROM l WHERE change_type <> 'UPDATED'"""
 )
 def changelog(spark, directory):
     """Rows of the change log."""
-    labelled = changes.classify(_event_inventory(spark, directory), RUN, _failed(spark))
+    labelled = changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark))
     none = spark.createDataFrame([], "authority string, property_name string, url string, status string, listing_status string")
-    return changes.changelog(changes.staff_events(labelled, "20240102", _failed(spark), none, none), False).select("event", "entry")
+    return changes.changelog(changes.staff_events(labelled, _event_runs(spark, directory)[1], _failed(spark), none, none), False).select("event", "entry")
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -566,25 +594,37 @@ def pruned_inventory(spark, directory):
 def pruned_by_diff(spark, directory):
     """Inventory without the rows a diff calls stale."""
     rows = _event_inventory(spark, directory)
-    return inv.prune_from_diff(rows, changes.classify(rows, RUN, _failed(spark))).select("authority", "property_name")
+    return inv.prune_from_diff(rows, changes.classify(rows, _event_runs(spark, directory)[0], _failed(spark))).select("authority", "property_name")
+
+
+_EXPORT_SQL = ", ".join(
+    f"coalesce({c}, '') AS {c}" if c in "property_name address phone email bedrooms url status listing_status income_limits eligibility_flags confidence last_seen first_seen source last_run_id".split() else f"'' AS {c}"
+    for c in "property_name address phone email bedrooms url status listing_status deadline income_limits unit_types eligibility_flags notes confidence administrator administrator_url administrator_phone administrator_contact last_seen first_seen source source_url expires_at last_run_id".split()
+)
 
 
 @query(
-    """SELECT authority AS source_authority, property_name, status, last_seen AS scrape_date, CASE WHEN last_run_id = '20250519T063323' THEN 'Y' ELSE 'N' END AS confirmed_this_run
-    FROM inventory_snapshots WHERE run_id = '20250519T063323'"""
+    f"""SELECT coalesce(authority, '') AS source_authority, {_EXPORT_SQL}, coalesce(last_seen, '') AS scrape_date, {_KIND_SQL} AS record_kind,
+    CASE WHEN last_run_id = (SELECT max(run_id) FROM inventory_snapshots) THEN 'Y' ELSE 'N' END AS confirmed_this_run FROM inventory_snapshots"""
 )
 def export_full(spark, directory):
-    """Full export of the last run."""
-    rows = table(spark, directory, "inventory_snapshots").where("run_id = '20250519T063323'")
-    return inv.export_full(_stored(rows), "20250519T063323").select("source_authority", "property_name", "status", "scrape_date", "confirmed_this_run")
+    """Full export of all delivered rows, with what the last run confirmed."""
+    rows = table(spark, directory, "inventory_snapshots")
+    last = rows.agg(F.max("run_id")).first()[0]
+    return inv.export_full(_stored(rows).fillna(""), last)
 
 
-@query(_INV_SQL + " SELECT change_type, authority AS source_authority, property_name, last_run_id FROM l")
+@query(
+    _INV_SQL
+    + " SELECT change_type, authority AS source_authority, property_name, last_run_id, strftime(first_seen, '%Y-%m-%dT%H:%M:%S') AS first_seen, strftime(last_seen, '%Y-%m-%dT%H:%M:%S') AS last_seen, "
+    + ", ".join(f"'' AS {c}" for c in "address phone email url status listing_status deadline bedrooms income_limits unit_types eligibility_flags confidence notes source source_url expires_at".split())
+    + ", 'property' AS record_kind FROM l"
+)
 def export_diff(spark, directory):
     """Change export of a run."""
-    labelled = changes.classify(_event_inventory(spark, directory), RUN, _failed(spark))
+    labelled = changes.classify(_event_inventory(spark, directory), _event_runs(spark, directory)[0], _failed(spark))
     full = labelled.select("change_type", *[F.col(c) if c in labelled.columns else F.lit("").alias(c) for c in inv.STORED])
-    return inv.export_diff(full).select("change_type", "source_authority", "property_name", "last_run_id")
+    return inv.export_diff(full)
 
 
 @query(
@@ -610,13 +650,6 @@ def latest_runs(spark, directory):
 
 # ---- Signals and reports ----------------------------------------------------------------------------------------
 
-_KIND_SQL = f"""CASE WHEN lower({_strip('source')}) LIKE 'housekeys:%' THEN 'portal'
-  WHEN lower({_strip('property_name')}) LIKE '%via housekeys%' THEN 'portal'
-  WHEN lower({_strip('property_name')}) IN ({', '.join(f"'{x}'" for x in canonical.PROGRAM_NAMES)}) THEN 'program'
-  WHEN {_strip('address')} = '' AND length({_strip('property_name')}) < 24 AND upper({_strip('property_name')}) = {_strip('property_name')} AND lower({_strip('property_name')}) <> {_strip('property_name')}
-    AND {_strip('property_name')} LIKE '% %' THEN 'program' ELSE 'property' END"""
-
-
 def _snapshot_rows(spark, directory):
     return table(spark, directory, "inventory_snapshots").withColumns({"administrator": F.lit(""), "notes": F.lit("")})
 
@@ -638,8 +671,8 @@ def coverage(spark, directory):
 
 _SIGNAL_SQL = (
     _TARGET_SQL
-    + f""", c AS (SELECT authority, count(*) FILTER ({_KIND_SQL} = 'property')::BIGINT AS n FROM inventory_snapshots WHERE run_id = '20250519T063323' GROUP BY 1),
-bad AS (SELECT DISTINCT authority FROM run_outcomes WHERE had_error AND run_id = '20250505T070307'),
+    + f""", c AS (SELECT authority, count(*) FILTER ({_KIND_SQL} = 'property')::BIGINT AS n FROM inventory_snapshots WHERE run_id = (SELECT max(run_id) FROM inventory_snapshots) GROUP BY 1),
+bad AS (SELECT DISTINCT authority FROM run_outcomes WHERE had_error AND run_id = (SELECT max(run_id) FROM inventory_snapshots)),
 x AS (SELECT t.authority, coalesce(c.n, 0)::BIGINT AS n, bad.authority IS NOT NULL AS failed, tags,
   try_cast(nullif(regexp_extract(coalesce(validated_zero, ''), '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') AS DATE) AS noted,
   try_cast(nullif(regexp_extract(coalesce(validated_zero_review_due, ''), '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') AS DATE) AS due,
@@ -652,8 +685,10 @@ s AS (SELECT authority, n, failed, CASE WHEN noted IS NULL OR due IS NULL THEN '
 
 
 def _signals(spark, directory):
-    rows = _snapshot_rows(spark, directory).where("run_id = '20250519T063323'")
-    failed = table(spark, directory, "run_outcomes").where("had_error AND run_id = '20250505T070307'").select("authority").distinct()
+    rows = _snapshot_rows(spark, directory)
+    last = rows.agg(F.max("run_id")).first()[0]
+    rows = rows.where(F.col("run_id") == last)
+    failed = table(spark, directory, "run_outcomes").where(F.col("had_error") & (F.col("run_id") == last)).select("authority").distinct()
     return signals.source_signals(table(spark, directory, "targets"), signals.property_counts(rows), failed, TODAY)
 
 

@@ -18,7 +18,7 @@ def test_canonical_row(spark):
     r = canonical.canonical_rows(
         raw(spark, dict(authority=" City of X ", property_name="Oak", address="1 Elm St, X", phone="5", bedrooms="2BR", listing_status=" OPEN ", notes="nice", document_url="", seq=1, odd="extra")), NOW
     ).first()
-    assert (r.authority, r.url, r.status, r.listing_status, r.unit_types) == ("City of X", "hls:addr:1elmst", "Open", "open", "2BR")
+    assert (r.authority, r.url, r.status, r.listing_status, r.unit_types) == ("City of X", "roll:addr:1elmst", "Open", "open", "2BR")
     assert r.notes == "nice | addr: 1 Elm St, X | phone: 5 | br: 2BR" and r.last_seen == NOW and r.expires_at == ""
 
 
@@ -35,7 +35,7 @@ def test_surrogates_differ_by_source(spark):
     rows = canonical.canonical_rows(
         raw(spark, *[dict(authority="A", property_name="P", source_url=u, seq=k) for k, u in enumerate(["", "https://a.example/list1", "https://a.example/list2"])]), NOW
     ).orderBy("seq").collect()
-    assert len({r.url for r in rows}) == 3 and rows[0].url.startswith("hls:prop:a:") and rows[1].url.startswith("hls:src:a:")
+    assert len({r.url for r in rows}) == 3 and rows[0].url.startswith("roll:prop:a:") and rows[1].url.startswith("roll:src:a:")
 
 
 def greedy(rows):
@@ -62,7 +62,7 @@ def test_exact_survivors_equal_the_scan(spark):
         df = raw(spark, *rows)
         wanted = greedy([r.asDict() for r in resolve.keyed(df).collect()])
         assert {r.seq for r in resolve.survivors_exact(df).collect()} == wanted
-        assert {r.seq for r in resolve.survivors_exact(df, rounds=2).collect()} == wanted
+        assert {r.seq for r in resolve.survivors_exact(df).collect()} == wanted
 
 
 def test_survivors_of_nothing(spark):
