@@ -72,3 +72,47 @@ def markdown_changelog(changes: DataFrame, most: int = TOP) -> str:
         if rest:
             out.append(f"- and {rest} more")
     return "\n".join(out)
+
+
+# How names begin that a page's navigation left.
+NAVIGATION = ("quick links", "skip to", "home /", "your city /", "in this section", "select this as", "housing open side", "/ your city")
+
+
+def summary_candidates(rows: DataFrame) -> DataFrame:
+    """Rows that a summary may list: properties whose name is neither closed nor navigation, and longer than four letters unless their source is structured."""
+    name = F.lower(X.said(F.col("property_name")))
+    navigation = F.exists(F.array(*[F.lit(p) for p in NAVIGATION]), lambda p: F.startswith(name, p))
+    structured = F.contains(X.said(F.col("source")), F.lit(":"))
+    return rows.where((record_kind() == "property") & ~name.contains("closed") & ~navigation & (structured | (F.length("property_name") > 4)))
+
+
+def rekeyed(diff: DataFrame) -> DataFrame:
+    """Rows of a change export under the key of the inventory: ``authority, property_name, url`` and the rest."""
+    label = X.first_said(F.col("source_authority"), F.col("authority")) if "authority" in diff.columns else X.said(F.col("source_authority"))
+    rest = [c for c in diff.columns if c not in ("source_authority", "authority", "property_name", "url")]
+    return diff.select(label.alias("authority"), X.said(F.col("property_name")).alias("property_name"), X.said(F.col("url")).alias("url"), *rest)
+
+
+def prune_proposal(labelled: DataFrame) -> DataFrame:
+    """What pruning after a run could take, by source: ``authority, stale, failed``; rows of failed sources are not gone and never proposed."""
+    return labelled.groupBy("authority").agg(
+        F.count_if(F.col("change_type") == "STALE").alias("stale"), F.count_if(F.col("change_type") == "SCRAPE_FAILED").alias("failed")
+    )
+
+
+def prune_note(proposal: DataFrame, run_id: str) -> str:
+    """The proposal as a note for operators; nothing is removed by it."""
+    total = proposal.agg(F.coalesce(F.sum("stale"), F.lit(0)).alias("stale"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed")).first()
+    head = [f"# Rows that run {run_id} did not confirm", "", f"- to be looked at: {total.stale}", f"- of failed sources, not to be pruned: {total.failed}", ""]
+    return "\n".join(head + ([markdown_table(proposal.where("stale > 0").orderBy("authority"))] if total.stale else ["Nothing to prune."]))
+
+
+def changelog_csv(changes: DataFrame) -> DataFrame:
+    """Change log rows for a file: ``change_type, authority, property_name, url, details``."""
+    told = F.when((X.said(F.col("old")) != "") | (X.said(F.col("new")) != ""), F.concat(X.said(F.col("old")), F.lit(" → "), X.said(F.col("new")))).otherwise("")
+    return changes.select(F.col("event").alias("change_type"), "authority", "property_name", "url", told.alias("details"))
+
+
+def link_of(*columns: str) -> F.Column:
+    """The first link a listing has."""
+    return X.first_said(*[F.col(c) for c in columns])

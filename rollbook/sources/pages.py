@@ -299,6 +299,14 @@ def labelled_page(root: Node, url: str) -> list[dict]:
         m = re.search(rf"{label}:\s*(.+?)\s*(?={others}|$)", text)
         return m[1].strip(" |;") if m else ""
 
+    def line_of(label: str) -> str:
+        """The text of the element that begins with a label; what follows the element is not the label's."""
+        for node in root.walk():
+            own = node.text()
+            if own.startswith(f"{label}:") and not any(f"{x}:" in own for x in labels if x != label):
+                return own[len(label) + 1 :].strip(" |;")
+        return after(label)
+
     name = _text(root, "h1") or _text(root, "title")
     if not name:
         return []
@@ -306,7 +314,7 @@ def labelled_page(root: Node, url: str) -> list[dict]:
     return [
         _record(
             url, property_name=name, url=url, address=after("Address"), phone=after("Phone"), email=after("Email"), unit_types=after("Unit Mix"), income_limits=after("Income Limits"),
-            status=after("Status"), administrator=after("Management"), notes=" | ".join(files),
+            status=line_of("Status"), administrator=after("Management"), notes=" | ".join(files),
         )
     ]
 
@@ -350,19 +358,33 @@ def page_records(pages: DataFrame, kind: str | None = None) -> DataFrame:
     return out.select("page_id", "seq", F.from_json("record", "map<string,string>").alias("record"))
 
 
+# Fixed value: how availability pages name a property and its free units.
+_AVAILABLE = re.compile(r"([A-Z][A-Za-z][A-Za-z ]+?)\s*[-–]\s*(\d+)\s*available", re.IGNORECASE)
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """Links of pages in order: ``page_id, seq, href, label``."""
+    """Links of pages in order: ``page_id, seq, href, label, around``; around is the name before "- N available" in the nearest element that has one."""
+
+    def named(a: Node) -> str:
+        node: Node | None = a
+        for _ in range(8):
+            if node is None:
+                break
+            if m := _AVAILABLE.search(node.text()):
+                return m[1].strip()
+            node = node.parent
+        return ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for page, url, text in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 for n, a in enumerate(parse_html(text).select("a[href]")):
-                    rows.append((page, n, urljoin(url or "", a.attrs["href"]), a.text()))
-            yield pd.DataFrame(rows, columns=["page_id", "seq", "href", "label"])
+                    rows.append((page, n, urljoin(url or "", a.attrs["href"]), a.text(), named(a)))
+            yield pd.DataFrame(rows, columns=["page_id", "seq", "href", "label", "around"])
 
     key = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {key}, seq long, href string, label string")
+    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {key}, seq long, href string, label string, around string")
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
@@ -375,16 +397,15 @@ def table_rows(pages: DataFrame) -> DataFrame:
                 n = 0
                 for t in parse_html(text).select("table"):
                     lines = [[c.text() for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")] for tr in t.select("tr")]
-                    if not lines:
-                        continue
-                    heads = lines[0]
-                    if len(heads) == 1:
-                        heads = [h for h in re.split(r"[,/|&]|\s{2,}", heads[0]) if h.strip()]
-                    names = [re.sub(r"[^a-z0-9]+", "_", h.lower()).strip("_") for h in heads]
-                    for line in lines[1:]:
-                        cells = {(names[j] if j < len(names) and names[j] else f"col_{j}"): c for j, c in enumerate(line) if c}
-                        if cells:
-                            rows.append((page, n, json.dumps(cells)))
+                    names: list[str] = []
+                    for k, line in enumerate(lines):
+                        filled = [c for c in line if c]
+                        if not k and filled:
+                            # Several headers may stand in one cell.
+                            names = [h.strip() for c in filled for h in re.split(r"[,/|&]|\s{2,}", c) if h.strip()]
+                        elif filled:
+                            heads = [names[j] if j < len(names) else f"col_{j}" for j in range(len(filled))]
+                            rows.append((page, n, json.dumps({re.sub("[.,]", "", re.sub("[ /]", "_", h.lower())): c for h, c in zip(heads, filled)})))
                             n += 1
             yield pd.DataFrame(rows, columns=["page_id", "seq", "cells"])
 
