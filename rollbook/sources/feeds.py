@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -42,13 +42,12 @@ def portal_items(pages: DataFrame) -> DataFrame:
 
 
 def once(items: DataFrame, most: int = 200) -> tuple[DataFrame, DataFrame]:
-    """Each listing of a page once, by id or name, the first, up to ``most`` of a page; and ``page_id`` of pages with more."""
+    """Each listing of a page once, by id or name, the first; and ``page_id`` of pages with more than ``most``, whose reading should have stopped there."""
     key = X.first_said(F.col("item.id"), F.col("item.name"))
     first = items.where(key != "").groupBy("page_id", "url", key.alias("key")).agg(F.min_by(F.struct("rank", "item"), "rank").alias("r"))
     rows = first.select("page_id", "url", "r.rank", "r.item")
     over = rows.groupBy("page_id").count().where(F.col("count") > most).select("page_id")
-    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("rank"))
-    return rows.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth"), over
+    return rows, over
 
 
 def unit_summary(units: Column) -> Column:

@@ -104,7 +104,9 @@ def portal_inventory(portals: DataFrame, shown: DataFrame, served: DataFrame, se
     )
     both = shown.withColumn("path", F.lit("page")).unionByName(served.withColumn("path", F.lit("service")))
     chosen = in_city(both.join(ways, ["page_id", "path"])).select("page_id", "url", "rank", "item")
-    rows, over = feeds.once(chosen, most)
+    each, over = feeds.once(chosen, most)
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("rank"))
+    rows = each.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
     ended = (
         ways.join(rows.groupBy("page_id").agg(F.count("*").alias("n")), "page_id", "left")
         .join(over.withColumn("over", F.lit(True)), "page_id", "left")

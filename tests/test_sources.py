@@ -50,7 +50,7 @@ CARDS = {
     "availability": ('<ul role="presentation"><li><strong>Oak Homes - 3 available units</strong> call (408) 555-1234</ul>',
                      [{"property_name": "Oak Homes", "unit_types": "3 available", "phone": "(408) 555-1234"}]),
     "labelled": ('<h1>Oak</h1><p>Address: 1 Elm St</p><p>Phone: 555</p><p>Status: open</p><a href="f.pdf">f</a>',
-                 [{"property_name": "Oak", "url": "https://x.example/", "address": "1 Elm St", "phone": "555", "status": "open f", "notes": "https://x.example/f.pdf"}]),
+                 [{"property_name": "Oak", "url": "https://x.example/", "address": "1 Elm St", "phone": "555", "status": "open", "notes": "https://x.example/f.pdf"}]),
 }
 
 
