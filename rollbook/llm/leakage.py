@@ -32,8 +32,8 @@ HALF = 0.5
 GAP = 3
 #: A passage holds this many of the item's words at least; less is a turn of phrase. Items of fewer words must stand whole.
 PASSAGE = 6
-#: Words around a seed in which its passage may go on without another seed.
-REACH = SPAN + 4 * GAP
+#: Words around a seed, in text and item, in which its passage may go on without another seed; isolated changes leave seeds closer than that.
+REACH = SPAN + GAP
 #: Words of texts that are hashed at once.
 BATCH_WORDS = 400_000
 
@@ -164,14 +164,20 @@ class ItemIndex:
         fresh = np.ones(len(at), bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (text[at[1:]] != text[at[:-1]])
         first = np.nonzero(fresh)[0]
-        # Words of the text within reach of seeds.
+        # Words of text and item within reach of seeds: half of the item must lie there.
         covered = np.full(len(at), 2 * REACH + 1)
         covered[1:][~fresh[1:]] = np.minimum(np.diff(at)[~fresh[1:]], 2 * REACH + 1)
         around = np.add.reduceat(covered, first)
-        for lo, hi, n in zip(first.tolist(), [*first[1:].tolist(), len(at)], around.tolist()):
-            item, t = int(owner[lo]), int(text[at[lo]])
-            if n >= HALF * len(self.codes[item]):
-                yield t, item, list(zip((at[lo:hi] - begins[t]).tolist(), place[lo:hi].tolist()))
+        lengths = np.array([len(self.codes[i]) for i in owner[first].tolist()])
+        bounds = np.append(first, len(at))
+        for n in np.nonzero(around >= HALF * lengths)[0]:
+            lo, hi = int(bounds[n]), int(bounds[n + 1])
+            inside = np.zeros(lengths[n] + 1, np.int64)
+            np.add.at(inside, np.maximum(place[lo:hi] - REACH, 0), 1)
+            np.add.at(inside, np.minimum(place[lo:hi] + REACH + 1, lengths[n]), -1)
+            if (np.cumsum(inside)[:-1] > 0).sum() >= HALF * lengths[n]:
+                t = int(text[at[lo]])
+                yield t, int(owner[lo]), list(zip((at[lo:hi] - begins[t]).tolist(), place[lo:hi].tolist()))
 
     def stand_whole(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
         """Index of a text and short item whose words it holds in one stretch."""
@@ -184,6 +190,10 @@ class ItemIndex:
         return found
 
 
+#: Words onward in text and item from one matched word of a passage to the next.
+_STEPS = [(da, db) for da in range(1, GAP + 2) for db in range(1, GAP + 2) if abs(da - db) <= 2]
+
+
 def areas_of(length: int, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Stretches of a text of ``length`` words around seeds, as far as a passage may go on."""
     areas: list[tuple[int, int]] = []
@@ -203,20 +213,42 @@ def passages(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) ->
     on both sides. Chains are the longest of that kind ending at each match.
     """
     where: dict[int, list[int]] = defaultdict(list)
+    near = {j for _, b in hits for j in range(b - REACH, b + REACH + 1)}
     for j, code in enumerate(item.tolist()):
-        where[code].append(j)
-    seeded = {(a + k, b + k) for a, b in hits for k in range(SPAN) if a + k < len(text) and b + k < len(item) and text[a + k] == item[b + k]}
+        if j in near:
+            where[code].append(j)
+    seeded: dict[int, set[int]] = defaultdict(set)
+    for a, b in hits:
+        for k in range(SPAN):
+            if a + k < len(text) and b + k < len(item) and text[a + k] == item[b + k]:
+                seeded[a + k].add(b + k)
     found: list[frozenset[int]] = []
     for lo, hi in areas_of(len(text), hits):
+        codes = text[lo:hi].tolist()
+        # Matches that a chain with a seed can hold: those reached from seeds, onward or back.
+        reached: dict[int, set[int]] = {}
+        for way in (1, -1):
+            allowed: dict[int, set[int]] = {}
+            for a in range(lo, hi) if way > 0 else range(hi - 1, lo - 1, -1):
+                cells, own = allowed.pop(a, None), seeded.get(a)
+                if cells is None and own is None:
+                    continue
+                here = {b for b in where.get(codes[a - lo], ()) if (cells and b in cells) or (own and b in own)}
+                if not here:
+                    continue
+                reached.setdefault(a, set()).update(here)
+                for b in here:
+                    for da, db in _STEPS:
+                        allowed.setdefault(a + way * da, set()).add(b + way * db)
         # Chains that end at an item place: text place, length, number of the chain.
         ends: list[list[tuple[int, int, int]]] = [[] for _ in range(len(item))]
         chains: list[tuple[int, int]] = []  # back pointer, item place
         best: dict[int, tuple[int, int]] = {}  # root of a chain: length, end
         roots: list[int] = []
         seeds_in: list[bool] = []
-        for a, code in enumerate(text[lo:hi].tolist(), lo):
+        for a in sorted(reached):
             fresh = []
-            for b in where.get(code, ()):
+            for b in sorted(reached[a]):
                 length, back = 1, -1
                 for pb in range(max(0, b - GAP - 1), b):
                     for pa, n, k in ends[pb]:
@@ -225,7 +257,7 @@ def passages(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) ->
                 k = len(chains)
                 chains.append((back, b))
                 roots.append(roots[back] if back >= 0 else k)
-                seeds_in.append((seeds_in[back] if back >= 0 else False) or (a, b) in seeded)
+                seeds_in.append((seeds_in[back] if back >= 0 else False) or (a in seeded and b in seeded[a]))
                 fresh.append((b, length, k))
                 if seeds_in[k] and length > best.get(roots[k], (0, 0))[0]:
                     best[roots[k]] = (length, k)
@@ -246,7 +278,8 @@ def held_share(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]])
     if not len(item):
         return 0.0
     # Two stretches around seeds with fewer words in common than half: no need to align.
-    codes = item.tolist()
+    near = {j for _, b in hits for j in range(max(0, b - REACH), min(len(item), b + REACH + 1))}
+    codes = item[sorted(near)].tolist()
     common = sorted(sum(map(set(text[lo:hi].tolist()).__contains__, codes)) for lo, hi in areas_of(len(text), hits))
     if sum(common[-2:]) < HALF * len(item):
         return 0.0
