@@ -30,6 +30,8 @@ TRUE_BYTES = ("cp1252", "cp1251", "koi8_r", "gbk", "big5", "mac_roman", "cp437",
 #: Nats by which another reading must win: per step for a decoded character, per line for a whole line.
 STEP_COST = 4.0
 LINE_MARGIN = 9.0
+#: The same for a line that is damaged for sure.
+LEAST_GAIN = 4.0
 #: Counts are kept for characters (bounded by Unicode) and for words in at least this share of texts.
 WORD_SHARE = 1 / 50_000
 WORD_LEAST = 3
@@ -246,34 +248,48 @@ def _byte_gains(c: str, freq: Frequencies) -> np.ndarray:
     return known
 
 
-def _sensible(old: str, new: str, freq: Frequencies) -> bool:
-    """At least half of the words that a new reading changes become more common in the corpus than they were."""
-    changed = [(a.lower(), b.lower()) for a, b in zip(old.split(), new.split()) if a != b]
+def _word_gain(old: str, new: str, freq: Frequencies) -> float | None:
+    """What the words that a new reading changes win by their corpus frequencies, in nats; None unless at least half of them become more common."""
     better = seen = 0
-    for a, b in changed:
-        words = [w for w in re.findall(r"[^\W\d_]+", b) if not w.isascii() and len(w) >= 3]
+    gain = 0.0
+    for a, b in zip(old.split(), new.split()):
+        if a == b:
+            continue
+        words = [w for w in _LETTERS.findall(b.lower()) if not w.isascii() and len(w) >= 3]
         if not words:
             continue
         seen += 1
-        before = max([freq.words.get(w, 0) for w in re.findall(r"[^\W\d_]+", a) if len(w) >= 3] or [0])
-        better += max(freq.words.get(w, 0) for w in words) > 2 * before
-    return seen > 0 and 2 * better >= seen
+        before = max([freq.words.get(w, 0) for w in _LETTERS.findall(a.lower()) if len(w) >= 3] or [0])
+        after = max(freq.words.get(w, 0) for w in words)
+        better += after > 2 * before
+        gain += math.log((after + 1) / (before + 1))
+    return gain if seen and 2 * better >= seen else None
 
 
 def _as_bytes(line: str, freq: Frequencies) -> tuple[float, str]:
-    """Best gain of reading the line's upper characters in another set of one or two bytes."""
+    """Gain and text of the line's upper characters read in another set of one or two bytes.
+
+    Of all pairs of sets that win by characters, each distinct reading is weighed by characters and words.
+    """
     top = (0.0, line)
     high = Counter(_HIGH.findall(line))
     gains = sum(_byte_gains(c, freq) * n for c, n in high.items())
-    for k in np.argsort(-gains)[:3]:
-        if gains[k] <= 0:
+    best, tried = -math.inf, {line}
+    for k in np.argsort(-gains):
+        if gains[k] < LEAST_GAIN:
             break
         codec, true = _PAIRS[k]
         table = bytes_of(codec)
-        text = line.translate({ord(c): bytes([table[c]]).decode(true) for c in high if c in table})
-        if _sensible(line, text, freq):
-            top = (float(gains[k]), text)
-            break
+        try:
+            text = line.translate({ord(c): bytes([table[c]]).decode(true) for c in high if c in table})
+        except UnicodeDecodeError:  # a byte that the other set does not have
+            continue
+        if text in tried:
+            continue
+        tried.add(text)
+        words = _word_gain(line, text, freq)
+        if words is not None and gains[k] + words > best:
+            best, top = gains[k] + words, (float(gains[k]), text)
     if _LATIN_RUN.search(line):
         before = freq.cost(line)
         for codec in ("cp1252", "latin_1"):
@@ -302,8 +318,10 @@ def _fill_lost(line: str, freq: Frequencies) -> str:
     return re.sub(r"[\w" + LOST + r"]*" + LOST + r"[\w" + LOST + r"]*", fill, line)
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Controls of the second set never stand in proper text, except the line sign.
 _CONTROL = re.compile("[\x80-\x84\x86-\x9f]")
+_SIGNS = {chr(b): bytes([b]).decode("cp1252") for b in range(128, 160) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 def repair(text: str | None, freq: Frequencies) -> tuple[bool, str]:
@@ -324,7 +342,7 @@ def repair(text: str | None, freq: Frequencies) -> tuple[bool, str]:
             least = 1.0
             if gain < least:
                 gain, better = _as_bytes(line, freq)
-                least = 4.0 if bad else LINE_MARGIN
+                least = LEAST_GAIN if bad else LINE_MARGIN
             if gain < least:
                 break
             bad, line = True, better
@@ -332,6 +350,8 @@ def repair(text: str | None, freq: Frequencies) -> tuple[bool, str]:
                 break
         if bad:
             damaged = True
+            # A control that is left was a sign of the Western set.
+            line = _CONTROL.sub(lambda m: _SIGNS.get(m[0], m[0]), line)
             lines[k] = _fill_lost(line, freq) if LOST in line else line
     return damaged, "\n".join(lines)
 
