@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.grams import keys_of, piece_counts, prefixes
+from rollbook.llm.graph import components
 from rollbook.llm.parse import Address, distance, parse_name
 from rollbook.llm.pieces import address_pieces, place_score, said, words_alike, zip_cities
 from rollbook.session import big, cut, spaced
@@ -200,3 +201,30 @@ def same_place(records: DataFrame, key: str = "record_id", address: str = "addre
     return sure.unionByName(fit).unionByName(inside).select(
         F.least("ia", "ib").alias(f"{key}_a"), F.greatest("ia", "ib").alias(f"{key}_b")
     )
+
+
+def place_classes(records: DataFrame, key: str = "record_id", address: str = "address", name: str = "property_name") -> DataFrame:
+    """A row for each record with a street address: ``<key>, place, links``.
+
+    ``place`` is the smallest key of the records joined to it by links that no missing
+    part makes doubtful; ``links`` counts the records that it is linked to itself.
+    Copies of one text share their class and are no links; pairs are never made.
+    """
+    members, places = located(records, key, address, name)
+    marked = cut(_with_doubt(cut(wording_links(places))))
+    sure = marked.where("NOT doubtful").select("a", "b")
+    classes = components(sure)
+    sizes = members.groupBy("place").agg(F.count("*").alias("n"))
+    texts = members.groupBy("place", "text").agg(F.count("*").alias("own"))
+    both = sure.unionByName(sure.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(big(sizes.withColumnRenamed("place", "b")), "b").groupBy(F.col("a").alias("place")).agg(F.sum("n").alias("others"))
+    told = (
+        members.join(big(texts), ["place", "text"])
+        .join(big(sizes), "place")
+        .join(big(linked), "place", "left")
+        .join(big(classes.select(F.col("node").alias("place"), "component")), "place", "left")
+        .select("id", F.coalesce("component", "place").alias("class"), (F.col("n") - F.col("own") + F.coalesce("others", F.lit(0))).alias("links"))
+    )
+    told = cut(told)
+    first = told.groupBy("class").agg(F.min("id").alias("place"))
+    return told.join(big(first), "class").select(F.col("id").alias(key), "place", "links")

@@ -49,6 +49,16 @@ def p7_found(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def p6_places(spark: SparkSession, directory: str) -> DataFrame:
+    """Each raw record's place and number of links."""
+    return places.place_classes(table(spark, directory, "raw_records"))
+
+
+def p7_properties(spark: SparkSession, directory: str) -> DataFrame:
+    """Each raw record's property by its name and number of linked wordings."""
+    return spellings.name_classes(table(spark, directory, "raw_records"), table(spark, directory, "ref_authorities"))
+
+
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
     """One surviving record for each mirror_key with two or more rows."""
     return survivors.surviving_records(table(spark, directory, "mirror_records"))
@@ -114,7 +124,9 @@ QUERIES = {
     "p4_values": p4_values,
     "p4_sources": p4_sources,
     "p6_found": p6_found,
+    "p6_places": p6_places,
     "p7_found": p7_found,
+    "p7_properties": p7_properties,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p10_found": p10_found,

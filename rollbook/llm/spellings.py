@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.grams import keys_of, piece_counts, prefixes
+from rollbook.llm.graph import components
 from rollbook.llm.parse import Address
 from rollbook.llm.pieces import (
     address_pieces,
@@ -251,3 +252,26 @@ def _by_address(options: DataFrame, members: DataFrame) -> DataFrame:
         .where("n = 1")
         .select("id", "rep", "sign")
     )
+
+
+def name_classes(records: DataFrame, refs: DataFrame, key: str = "record_id", name: str = "property_name", agency: str = "authority") -> DataFrame:
+    """A row for each named record: ``<key>, property, links``.
+
+    ``property`` is the smallest key of the records joined to it by links between
+    names that leave neither agency nor kind open; ``links`` counts the wordings that
+    the record's own is linked to. Copies of one text share their class; pairs of records are never made.
+    """
+    rows = records.select(F.col(key).cast("long").alias("id"), said(name).alias("name"), said(agency).alias("agency")).where(F.trim("name") != "")
+    texts = cut(distinct_names(rows, refs).where("key != ''"))
+    links = cut(name_links(texts).where(~_open("fa") & ~_open("fb")).select("a", "b"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    several = texts.groupBy("rep").agg(F.count("*").alias("wordings"))
+    linked = both.join(big(several.withColumnRenamed("rep", "b")), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("wordings").alias("others"))
+    state = (
+        several.join(big(linked), "rep", "left")
+        .join(big(components(links).withColumnRenamed("node", "rep")), "rep", "left")
+        .select("rep", F.coalesce("component", "rep").alias("class"), (F.col("wordings") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    )
+    told = cut(rows.join(big(texts.select("name", "agency", "rep")), ["name", "agency"]).join(big(state), "rep").select("id", "class", "links"))
+    first = told.groupBy("class").agg(F.min("id").alias("property"))
+    return told.join(big(first), "class").select(F.col("id").alias(key), "property", "links")

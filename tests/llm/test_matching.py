@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,21 @@ def test_place_cases(spark):
     assert places.same_place(df.limit(0)).count() == 0
 
 
+def test_classes_hold_what_pairs_hold(spark, small):
+    """Records of one class are joined by pairs, each record has as many links as pairs."""
+    raw = spark.read.parquet(f"{small}/raw_records.parquet")
+    twice = raw.unionByName(raw.withColumn("record_id", F.col("record_id") + 10_000))
+    pairs = [(r.record_id_a, r.record_id_b) for r in places.same_place(twice).collect()]
+    sure = not places._with_doubt(places.wording_links(places.located(twice, "record_id", "address", "property_name")[1])).where("doubtful").count()
+    got = {r.record_id: (r.place, r.links) for r in places.place_classes(twice).collect()}
+    assert all(got[k][0] == got[k + 10_000][0] for k in got if k < 10_000) and len({p for p, _ in got.values()}) < len(got)
+    if sure:
+        assert {k: n for k, (_, n) in got.items() if n} == dict(Counter(k for p in pairs for k in p))
+        assert all(got[a][0] == got[b][0] for a, b in pairs)
+    names = {r.record_id: (r.property, r.links) for r in spellings.name_classes(twice, spark.read.parquet(f"{small}/ref_authorities.parquet")).collect()}
+    assert all(names[k] == names[k + 10_000] for k in names if k < 10_000) and max(n for _, n in names.values()) > 0
+
+
 def test_names_equal_all_pairs(spark, small):
     raw = spark.read.parquet(f"{small}/raw_records.parquet")
     ref = spark.read.parquet(f"{small}/ref_authorities.parquet")
