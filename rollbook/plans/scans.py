@@ -233,3 +233,85 @@ def changelog_file(spark, directory):
     none = spark.createDataFrame([], "authority string, property_name string, url string, status string, listing_status string")
     events = changes.staff_events(_labelled(spark, directory), ref._event_runs(spark, directory)[1], ref._failed(spark), none, none)
     return report.changelog_csv(events)
+
+
+# ---- Pages of each kind, made of parts --------------------------------------------------------------------------
+
+
+def _made(spark, directory, kind: str, template: str, fields: str) -> DataFrame:
+    """Pages of one kind from a template, ``{n}`` the part's number and ``{t}`` its type, read back: ``page_id`` and the fields."""
+    html = F.lit(template)
+    for mark, value in (("{n}", F.col("p_partkey").cast("string")), ("{t}", F.col("p_type"))):
+        html = F.replace(html, F.lit(mark), value)
+    site = table(spark, directory, "part").select(F.col("p_partkey").alias("page_id"), F.lit("https://x.example/list").alias("url"), html.alias("html"))
+    out = pages.page_records(site, kind)
+    return out.select("page_id", *[F.col("record")[c].alias(c) for c in fields.split()])
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, p_partkey || ' available' AS unit_types, '(408) 555-1234' AS phone FROM part")
+def availability_pages(spark, directory):
+    """Availability lists."""
+    return _made(
+        spark, directory, "availability", '<ul role="presentation"><li><strong>{t} - {n} available units</strong> call (408) 555-1234</li></ul>', "property_name unit_types phone"
+    )
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, 'https://x.example/p' || p_partkey AS url, p_partkey || ' Elm St, X, CA' AS address, 'm' || p_partkey || '@b.example' AS email, '555-1' AS phone, 'Studio' AS unit_types FROM part")
+def contact_pages(spark, directory):
+    """Cards with contacts."""
+    card = '<div class="h_apart_ctc"><a href="/p{n}">{t}</a><a href="javascript:;">{n} Elm St, X, CA, USA</a><a href="mailto:m{n}@b.example">m</a><a href="tel:555">555-1</a><span class="unit-type">Studio</span></div>'
+    return _made(spark, directory, "charities_housing", card, "property_name url address email phone unit_types")
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, 'https://x.example/property/p' || p_partkey AS url, 'waitlist' AS listing_status, 'Campbell, CA' AS address, 'senior' AS eligibility_flags FROM part")
+def location_pages(spark, directory):
+    """Cards of locations; one with two links is no property."""
+    card = (
+        '<div class="elementor-location-single"><a href="/property/p{n}"><img></a><a href="/property/p{n}">{t}</a><p>Senior, Wait list open. Campbell, CA</p></div>'
+        '<div class="elementor-location-single"><a href="/property/a">A</a><a href="/property/b">B</a></div>'
+    )
+    return _made(spark, directory, "midpen", card, "property_name url listing_status address eligibility_flags")
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, 'https://x.example/p' || p_partkey AS url, 'closed' AS listing_status, 'Hayward, CA' AS address, p_partkey || ' units' AS unit_types FROM part")
+def grid_pages(spark, directory):
+    """Grids of badge and title links."""
+    card = '<ul><li><a href="/p{n}">Closed</a><a href="/p{n}">{t}</a> Hayward, California {n} units</li></ul>'
+    return _made(spark, directory, "eden", card, "property_name url listing_status address unit_types")
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, 'https://x.example/p' || p_partkey AS url, p_partkey || ' Elm St, Gilroy, CA 95020' AS address, 'Gilroy' AS city FROM part")
+def heading_pages(spark, directory):
+    """Lists of headings with addresses."""
+    return _made(spark, directory, "eah", '<ul><li><h2><a href="/p{n}">{t}</a></h2><p>{n} Elm St, Gilroy, California 95020</p></li></ul>', "property_name url address city")
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, p_partkey || ' units' AS unit_types, '12 Elm Street, San Jose, CA 95110' AS address, 'family' AS eligibility_flags, 'open' AS listing_status FROM part")
+def box_pages(spark, directory):
+    """Boxes under headings."""
+    card = '<div class="property-box"><h3>{t}</h3>12 Elm Street, San Jose, CA 95110 <p>{n} units for Family, open</p></div>'
+    return _made(spark, directory, "scc_boxes", card, "property_name unit_types address eligibility_flags listing_status")
+
+
+@query("SELECT p_partkey AS page_id, p_type AS property_name, p_partkey || ' Elm St' AS address, '555-' || p_partkey AS phone, 'open' AS status, 'https://x.example/f' || p_partkey || '.pdf' AS notes FROM part")
+def labelled_pages(spark, directory):
+    """Pages of one property with labelled lines."""
+    card = '<h1>{t}</h1><p>Address: {n} Elm St</p><p>Phone: 555-{n}</p><p>Status: open</p><a href="f{n}.pdf">more</a>'
+    return _made(spark, directory, "labelled", card, "property_name address phone status notes")
+
+
+_COMMUNITY_SQL = "CASE " + " ".join(f"WHEN contains(lower(line), '{c}') THEN '{c}'" for c in sorted(docs.COMMUNITIES, key=lambda c: (-len(c), c))) + " END"
+
+
+def line_records_sql() -> str:
+    """Records of lines, told from the lines' own SQL."""
+    found = [p.replace("'", "''") for p in (docs.PHONE, docs.EMAIL, docs.ADDRESS)]
+    return f"""WITH l AS ({ref.SQL['text_lines']}),
+    f AS (SELECT doc_id, n, line, {', '.join(f"regexp_extract(line, '({p})', 1) AS {c}" for p, c in zip(found, ('phone', 'email', 'address')))} FROM l WHERE length(line) >= {docs.LINE_LEAST}),
+    g AS (SELECT *, regexp_replace(trim(split_part(line, CASE WHEN address <> '' THEN address WHEN phone <> '' THEN phone ELSE email END, 1)), '[\\s,;:–-]+$', '') AS property_name,
+      {_COMMUNITY_SQL} AS community_type FROM f WHERE phone <> '' OR email <> '' OR address <> ''),
+    s AS (SELECT *, (phone <> '')::INT + (email <> '')::INT + (address <> '')::INT + (property_name <> '')::INT + (community_type IS NOT NULL)::INT AS signals FROM g)
+    SELECT doc_id, (n)::INTEGER AS n, property_name, address, phone, email, community_type, CASE WHEN signals >= 4 THEN 'high' WHEN signals >= 2 THEN 'medium' ELSE 'low' END AS confidence FROM s"""
+
+
+SQL["line_records"] = line_records_sql()
