@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.files import Folder
 from rollbook.session import big, cut
 
 CHAIN_COLUMNS = ("entity", "value", "valid_from", "valid_to")
@@ -127,29 +128,11 @@ class ChainStore:
 
     def __init__(self, spark, folder: str, buckets: int = 64):
         self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
-        jvm = spark._jvm
-        self._path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        conf = spark._jsc.hadoopConfiguration()
-        self._files = self._path("x").getFileSystem(conf)
-        self._swap = lambda a, b: jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("x").toUri(), conf).rename(
-            a, b, self._overwrite()
-        )
-
-    def _overwrite(self):
-        kinds = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        kinds[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        return kinds
+        self._files = Folder(spark, folder)
 
     def contents(self) -> dict[str, str]:
         """Where each bucket lies now."""
-        at = self._path("CURRENT.json")
-        if not self._files.exists(at):
-            return {}
-        stream = self._files.open(at)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        return json.loads(self._files.read("CURRENT.json") or "{}")
 
     def _read(self, places: list[str]) -> DataFrame | None:
         return self.spark.read.parquet(*[f"{self.folder}/{p}" for p in places]) if places else None
@@ -166,13 +149,9 @@ class ChainStore:
         chains.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{state}")
         now = {k: v for k, v in before.items() if int(k) not in touched}
         for k in touched:
-            if self._files.exists(self._path(f"{state}/bucket={k}")):
+            if self._files.exists(f"{state}/bucket={k}"):
                 now[str(k)] = f"{state}/bucket={k}"
-        staged = self._path(f"CURRENT.{state}.json")
-        out = self._files.create(staged)
-        out.write(bytearray(json.dumps(now).encode()))
-        out.close()
-        self._swap(staged, self._path("CURRENT.json"))
+        self._files.replace("CURRENT.json", json.dumps(now))
 
     def apply(self, raw: DataFrame, batch: DataFrame) -> None:
         """Rebuilds what ``batch`` touches and publishes the new state; buckets without touched entities keep their files."""
@@ -188,11 +167,8 @@ class ChainStore:
     def vacuum(self) -> int:
         """Removes files of earlier states; gives the number of folders removed. For times without readers."""
         used = set(self.contents().values())
-        gone = 0
-        for state in self._files.listStatus(self._path("")):
-            if state.isDirectory() and state.getPath().getName().startswith("state-"):
-                for one in self._files.listStatus(state.getPath()):
-                    if one.isDirectory() and f"{state.getPath().getName()}/{one.getPath().getName()}" not in used:
-                        self._files.delete(one.getPath(), True)
-                        gone += 1
-        return gone
+        states = [s for s in self._files.names(folders=True) if s.startswith("state-")]
+        old = [f"{s}/{one}" for s in states for one in self._files.names(s, folders=True) if f"{s}/{one}" not in used]
+        for name in old:
+            self._files.remove(name)
+        return len(old)

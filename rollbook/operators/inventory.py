@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.files import Folder
 from rollbook.functions import text as X
 from rollbook.operators.canonical import KEY, LISTING, record_kind
 
@@ -148,18 +147,15 @@ class InventoryStore:
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-        os.makedirs(folder, exist_ok=True)
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._files = Folder(spark, folder)
+        self._files.make()
 
     def _path(self, *parts: str) -> str:
-        return os.path.join(self.folder, *parts)
+        return "/".join((self.folder, *parts))
 
     def _pointer(self) -> dict:
-        try:
-            with open(self._path("CURRENT.json")) as f:
-                return json.load(f)
-        except FileNotFoundError:
-            return {}
+        return json.loads(self._files.read("CURRENT.json") or "{}")
 
     def read(self) -> DataFrame:
         current = self._pointer().get("version")
@@ -168,10 +164,7 @@ class InventoryStore:
     def write(self, inventory: DataFrame) -> str:
         version = f"v-{uuid.uuid4().hex}"
         inventory.select(*STORED).write.parquet(self._path(version))
-        staged = self._path(f"CURRENT.{version}")
-        with open(staged, "w") as f:
-            json.dump({"version": version}, f)
-        os.replace(staged, self._path("CURRENT.json"))
+        self._files.replace("CURRENT.json", json.dumps({"version": version}))
         return version
 
     def log_run(self, command: str, run_id: str, authority_filter: str | None, before: int, after: int, notes: str = "") -> None:
@@ -187,7 +180,7 @@ class InventoryStore:
 
     def previous_full_run(self) -> str | None:
         """Id of the latest full run in the history."""
-        if not os.path.exists(self._path("run_history")):
+        if not self._files.exists("run_history"):
             return None
         row = (
             self.spark.read.parquet(self._path("run_history"))
@@ -199,17 +192,19 @@ class InventoryStore:
 
     def snapshot(self, name: str, when: str, commit: str = "") -> str:
         """Copies the current version aside, with a manifest."""
-        target = self._path("snapshots", f"{name}_{when}")
+        target = f"snapshots/{name}_{when}"
         rows = self.read()
-        rows.write.mode("errorifexists").parquet(os.path.join(target, "data"))
-        with open(os.path.join(target, "manifest.json"), "w") as f:
-            json.dump({"name": name, "time": when, "rows": rows.count(), "commit": commit}, f)
-        return target
+        rows.write.mode("errorifexists").parquet(self._path(target, "data"))
+        self._files.replace(f"{target}/manifest.json", json.dumps({"name": name, "time": when, "rows": rows.count(), "commit": commit}))
+        return self._path(target)
 
     def snapshots(self) -> list[dict]:
-        folder = self._path("snapshots")
-        found = sorted(os.listdir(folder)) if os.path.isdir(folder) else []
-        return [json.load(open(os.path.join(folder, x, "manifest.json"))) | {"folder": x} for x in found]
+        found = [(x, self._files.read(f"snapshots/{x}/manifest.json")) for x in self._files.names("snapshots", folders=True)]
+        return [json.loads(text) | {"folder": x} for x, text in found if text]
+
+    def restore(self, folder: str) -> str:
+        """Makes a version put aside the current one again."""
+        return self.write(self.spark.read.schema(INVENTORY_SCHEMA).parquet(self._path("snapshots", folder, "data")))
 
     def info(self) -> dict:
         return {"rows": self.read().count(), **self._pointer()}
@@ -218,8 +213,8 @@ class InventoryStore:
         """Removes the whole inventory; only with the word DROP."""
         if confirm != "DROP":
             raise ValueError("dropping the inventory needs the word DROP")
-        shutil.rmtree(self.folder)
-        os.makedirs(self.folder)
+        self._files.remove()
+        self._files.make()
 
     def write_baseline(self, rows: DataFrame) -> None:
         """Stores what the next run is compared with."""
@@ -227,7 +222,7 @@ class InventoryStore:
 
     def baseline(self) -> DataFrame:
         path = self._path("baseline")
-        if not os.path.exists(path):
+        if not self._files.exists("baseline"):
             return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in BASELINE))
         return self.spark.read.parquet(path)
 
@@ -237,16 +232,18 @@ BASELINE = ("source_authority", "property_name", "url", "status", "listing_statu
 
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with safe cells, replaced whole by rename. For reports: the rows go through one task."""
-    staged = f"{path}.{uuid.uuid4().hex}"
+    folder, _, name = path.rpartition("/")
+    files, staged = Folder(df.sparkSession, folder or "."), f"{name}.{uuid.uuid4().hex}"
     safe = df.select(*[X.csv_safe(F.col(c).cast("string")).alias(c) for c in df.columns])
-    safe.coalesce(1).write.option("header", True).option("escape", '"').csv(staged)
-    part = next(x for x in os.listdir(staged) if x.startswith("part-"))
-    os.replace(os.path.join(staged, part), path)
-    shutil.rmtree(staged)
+    safe.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{files.path}/{staged}")
+    part = next(x for x in files.names(staged) if x.startswith("part-"))
+    files.move(f"{staged}/{part}", name)
+    files.remove(staged)
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
     """A CSV file with header; a missing file is an empty table of ``columns``."""
-    if not os.path.exists(path):
+    folder, _, name = path.rpartition("/")
+    if not Folder(spark, folder or ".").exists(name):
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"').csv(path).na.fill("")

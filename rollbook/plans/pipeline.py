@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.files import Folder
 from rollbook.operators import canonical, changes, report, resolve, signals
 from rollbook.operators import inventory as inv
 from rollbook.session import cut
@@ -70,15 +70,18 @@ def run(
         store.log_run("--run", run_id, None, before.count(), after.count(), after_path)
         store.write_baseline(after.withColumnRenamed("authority", "source_authority"))
     if out:
-        os.makedirs(out, exist_ok=True)
+        files = Folder(raw.sparkSession, out)
+        files.make()
         suffix = "" if partial is None else "_partial"
-        inv.write_csv(inv.export_full(after, run_id), os.path.join(out, f"current_full{suffix}.csv"))
-        inv.write_csv(inv.export_diff(labelled), os.path.join(out, f"diff{suffix}.csv"))
+        inv.write_csv(inv.export_full(after, run_id), f"{files.path}/current_full{suffix}.csv")
+        inv.write_csv(inv.export_diff(labelled), f"{files.path}/diff{suffix}.csv")
+        inv.write_csv(report.changelog_csv(events), f"{files.path}/changelog{suffix}.csv")
         skipped = targets.where(F.col("scraping_measures").ilike("%no_public_list%"))
         log = changes.changelog(events, previous is None and baseline.isEmpty(), skipped)
-        with open(os.path.join(out, f"summary{suffix}.md"), "w") as f:
-            f.write(f"# Run {run_id}\n\n{report.markdown_table(report.coverage(after))}\n\n")
-            f.write(report.markdown_table(changes.label_counts(labelled)) + "\n\n")
-            f.write(report.markdown_table(found.where("signal IS NOT NULL").orderBy("authority")) + "\n\n")
-            f.write(report.markdown_changelog(log) + "\n")
+        candidates = report.summary_candidates(after).groupBy("authority").agg(F.count("*").alias("listings")).orderBy("authority")
+        parts = [report.coverage(after), changes.label_counts(labelled), found.where("signal IS NOT NULL").orderBy("authority"), candidates]
+        text = [f"# Run {run_id}", *[report.markdown_table(t) for t in parts], report.markdown_changelog(log)]
+        files.replace(f"summary{suffix}.md", "\n\n".join(text) + "\n")
+        if partial is None:
+            files.replace("proposed_prune.md", report.prune_note(report.prune_proposal(labelled), run_id))
     return RunResult(run_id, after, labelled, events, found, changes.label_counts(labelled), clean)

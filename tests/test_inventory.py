@@ -95,6 +95,7 @@ def test_runs_new_stale_failed_and_idempotent(spark, tmp_path):
     assert sorted(map(tuple, store.read().collect())) == before
     assert (tmp_path / "out" / "diff.csv").read_text().startswith("change_type,source_authority")
     assert "Removed" in (tmp_path / "out" / "summary.md").read_text()
+    assert "change_type,authority" in (tmp_path / "out" / "changelog.csv").read_text() and "did not confirm" in (tmp_path / "out" / "proposed_prune.md").read_text()
     part = run(store, raw(spark, *two), targets, fine, "R3", "2025-01-03T00:00:00", partial=spark.createDataFrame([("A",)], "authority string"), out=str(tmp_path / "out"))
     assert {r.authority for r in part.labelled.select("authority").distinct().collect()} == {"A"} and not part.baseline_updated
 
@@ -118,6 +119,10 @@ def test_store_versions(spark, tmp_path):
     store.write(rows)
     store.snapshot("before", "20250101")
     assert store.snapshots()[0]["rows"] == 1 and store.info()["rows"] == 1
+    store.write(rows.limit(0))
+    assert store.read().count() == 0
+    store.restore(store.snapshots()[0]["folder"])
+    assert store.read().count() == 1
     store.log_run("--prune", "x", None, 1, 0)
     assert store.previous_full_run() is None and store.history().count() == 1
     try:
