@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions import text as X
@@ -93,6 +93,14 @@ def unreliable(signals: DataFrame) -> DataFrame:
     )
 
 
+def unreliable_in_order(signals: DataFrame) -> DataFrame:
+    """The same sources in the order in which they are told, ``authority, nth``: failed ones, then low, then suspiciously empty; each once, at its first place. Sources are few."""
+    told = F.when(F.col("failed"), 0).when(F.col("signal") == "low_yield", 1).when(F.col("signal") == "suspicious_zero", 2)
+    each = signals.select(X.authority_label(F.col("authority")).alias("authority"), told.alias("told")).where("told IS NOT NULL")
+    first = each.groupBy("authority").agg(F.min("told").alias("told"))
+    return first.select("authority", F.row_number().over(Window.orderBy("told", "authority")).alias("nth"))
+
+
 def needs_attention(signals: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: ``needs_attention``, true if any signal, failed row or enough stale rows."""
     flags = signals.agg(F.coalesce(F.bool_or(F.col("signal").isNotNull() | F.col("failed")), F.lit(False)).alias("a"))

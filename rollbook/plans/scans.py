@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions import text as X
-from rollbook.operators import changes, report
+from rollbook.operators import changes, report, signals
 from rollbook.plans import reference as ref
 from rollbook.session import table
 from rollbook.sources import documents as docs
@@ -207,6 +207,16 @@ def summary_counts(spark, directory):
     return report.summary_candidates(ref._snapshot_rows(spark, directory)).groupBy("run_id").agg(F.count("*").alias("n"))
 
 
+@query(
+    ref._SIGNAL_SQL
+    + """, o AS (SELECT authority, min(CASE WHEN failed THEN 0 WHEN signal = 'low_yield' THEN 1 ELSE 2 END) AS told FROM s WHERE failed OR signal IN ('suspicious_zero', 'low_yield') GROUP BY 1)
+    SELECT authority, row_number() OVER (ORDER BY told, authority)::INTEGER AS nth FROM o"""
+)
+def unreliable_order(spark, directory):
+    """Sources whose missing rows say nothing, in the order they are told."""
+    return signals.unreliable_in_order(ref._signals(spark, directory))
+
+
 def _labelled(spark, directory) -> DataFrame:
     return changes.classify(ref._event_inventory(spark, directory), ref._event_runs(spark, directory)[0], ref._failed(spark))
 
