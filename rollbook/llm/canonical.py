@@ -23,7 +23,8 @@ from rollbook.session import big
 
 #: Letter pairs use 36 letters and digits and a word mark: at most 37 * 37 different ones.
 MAX_PAIRS = 37 * 37
-SALTS = 8
+#: Cells of one text that go to one task at most, about, and in how many parts every text is cut at least.
+SALT_ROWS, SALTS = 500_000, 8
 
 
 def letter_pairs(words: Iterable[str]) -> set[str]:
@@ -232,8 +233,9 @@ def map_cells(
     ``key, field, canonical``; canonical is ``''`` where no entry is meant. NULL and
     blank cells are missing. Similarity is computed once for each distinct text;
     the mapping goes back to the cells by a join salted over the cells, since one
-    text may be in a third of them.
+    text may be in a third of them; there are as many salts as the number of records asks for.
     """
+    salts = max(SALTS, -(-records.count() // SALT_ROWS))
     known = refs.select(F.col(field).alias("cell")).where(F.col("cell").isNotNull()).distinct()
     cells = (
         records.select(F.col(key).alias(key), F.col(field).alias("cell"))
@@ -241,9 +243,9 @@ def map_cells(
         .join(known, "cell", "left_anti")
     )
     mapping = mapper(cells.select(F.col("cell").alias("text")).distinct(), refs).select(
-        F.col("text").alias("cell"), "canonical", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        F.col("text").alias("cell"), "canonical", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     )
-    salted = cells.withColumn("salt", F.pmod(F.xxhash64(F.col(key)), F.lit(SALTS)).cast("int"))
+    salted = cells.withColumn("salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salts)).cast("int"))
     return salted.join(big(mapping), ["cell", "salt"], "left").select(
         F.col(key), F.lit(field).alias("field"), F.coalesce("canonical", F.lit("")).alias("canonical")
     )
