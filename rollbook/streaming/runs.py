@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,13 +16,29 @@ from rollbook.plans.pipeline import run
 
 
 def stream_runs(
-    observations: DataFrame, store: InventoryStore, targets: DataFrame, checkpoint: str, now: str, mode: str = "exact", once: bool = True
+    observations: DataFrame,
+    store: InventoryStore,
+    targets: DataFrame,
+    checkpoint: str,
+    now: str | Callable[[int], str],
+    mode: str = "exact",
+    once: bool = True,
+    outcomes: Callable[[int], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Each micro-batch of raw observations is one run; the run id comes from the batch id, so a replayed batch changes nothing."""
+    """Each micro-batch of raw observations is one run.
+
+    The run id comes from the batch's number, and rows without ``seq`` get one from
+    their content, so a replayed batch changes nothing; equal rows of a batch are
+    one observation. ``now`` may depend on the batch's number; ``outcomes`` gives a
+    batch's ``authority, had_error``, without it no source failed.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
-        fresh = rows.sparkSession.createDataFrame([], "authority string, had_error boolean")
-        run(store, rows, targets, fresh, f"B{number:014d}", now, mode=mode)
+        none = rows.sparkSession.createDataFrame([], "authority string, had_error boolean")
+        if "seq" not in rows.columns:
+            rows = rows.distinct().withColumn("seq", F.xxhash64(*rows.columns))
+        when = now if isinstance(now, str) else now(number)
+        run(store, rows, targets, outcomes(number) if outcomes else none, f"B{number:014d}", when, mode=mode)
 
     writer = observations.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

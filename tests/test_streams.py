@@ -19,6 +19,25 @@ def test_runs_as_batches(spark, tmp_path):
     assert got["P"][0] == "B00000000000000" and got["Q"][0] == "B00000000000001"
 
 
+def test_batches_have_times_and_failed_sources(spark, tmp_path):
+    schema = "authority string, property_name string, url string"
+    folder = str(tmp_path / "in")
+    store = InventoryStore(spark, str(tmp_path / "store"))
+    targets = spark.createDataFrame([("A", "eden", "", "")], "authority string, scraping_measures string, validated_zero string, validated_zero_review_due string")
+    seen = []
+
+    def outcomes(number):
+        seen.append(number)
+        return spark.createDataFrame([("B", True)], "authority string, had_error boolean")
+
+    rows = [("A", "P", "https://x.example/p"), ("A", "P", "https://x.example/p"), ("B", "Q", "https://x.example/q")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(folder)
+    runs.stream_runs(spark.readStream.schema(schema).json(folder), store, targets, str(tmp_path / "cp"), lambda n: f"2025-01-0{n + 1}T00:00:00", outcomes=outcomes).awaitTermination()
+    got = sorted((r.property_name, r.first_seen) for r in store.read().collect())
+    assert got == [("P", "2025-01-01T00:00:00"), ("Q", "2025-01-01T00:00:00")] and seen == [0]
+    assert store.previous_full_run() is None, "a run with failed sources is no baseline"
+
+
 def test_chains_from_stream(spark, tmp_path):
     schema = "entity long, value string, seen timestamp_ntz, first_seen timestamp_ntz, received timestamp_ntz, tie string"
     folder = str(tmp_path / "in")
