@@ -137,7 +137,7 @@ def judged_values(
     """Every stated value with its probability, and every source's quality.
 
     ``<group>, field, value, probability, kept`` and ``source, sensitivity,
-    specificity``. A field may keep several values or none. Groups with one source
+    specificity``, both among values that any source states. A field may keep several values or none. Groups with one source
     go by that source's quality. Empty tables give empty results.
 
     Values of like patterns (who states, who covers without stating) are counted
